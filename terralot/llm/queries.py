@@ -7,7 +7,12 @@ from pyspark.sql import DataFrame, SparkSession
 from .bpe import encode_decode
 from .common import table
 from .packing import pack
+from .quality_rules import quality_rules
+from .sql import SQL as SQL
 from .token_store import read_tokens, write_tokens
+from .topk import top_k
+from .url_graph import judge_urls
+from .zip_warc import read_archives, write_archives
 
 
 def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -15,6 +20,17 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"))
 
 
+def op3_pivot_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five best of all vectors for each vector whose id is divisible by 50."""
+    return top_k(table(spark, sf_dir, "embeddings"))
+
+
+def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rule counts and verdicts of all documents, with their hosts' shrunk failure rates taken in."""
+    rows = quality_rules(table(spark, sf_dir, "documents"))
+    return rows.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
 def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every whole text encoded by merge ranks over a segment tree, and decoded again."""
     return encode_decode(table(spark, sf_dir, "documents"))
@@ -25,5 +41,15 @@ def op6_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_tokens(write_tokens(table(spark, sf_dir, "documents")))
 
 
-QUERIES = {f.__name__: f for f in (op1_packing, op5_byte_bpe, op6_token_store)}
-SQL: dict[str, str] = {}
+def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A verdict for every page's url, by rule or by its host's trust and distrust."""
+    return judge_urls(table(spark, sf_dir, "pages")).select("page_id", "host", "path", "rule", "verdict")
+
+
+def op10_zip_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page written as a WARC record in ZIP packages, and read back by range."""
+    rows = read_archives(write_archives(table(spark, sf_dir, "pages")))
+    return rows.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+QUERIES = {f.__name__: f for f in (op1_packing, op3_pivot_topk, op4_quality_rules, op5_byte_bpe, op6_token_store, op9_url_filter, op10_zip_warc)}
