@@ -6,9 +6,12 @@ import atexit
 import os
 import tempfile
 import uuid
+import zlib
 from collections.abc import Iterator
 from urllib.parse import urlparse
 
+import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -112,3 +115,23 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def in_training(doc_id: str):
     """The rows that a fit may see: crc32 of the id as text leaves another remainder than 2 by 4."""
     return F.crc32(F.col(doc_id).cast("string").cast("binary")) % 4 != 2
+
+
+def count_blocks(counts, size: int) -> tuple[list[int], list[bytes]]:
+    """The blocks of a count table that hold any: their numbers, and their packed bytes."""
+    blocks = counts.reshape(-1, size)
+    used = [int(i) for i in blocks.any(axis=1).nonzero()[0]]
+    return used, [zlib.compress(blocks[i].tobytes(), 1) for i in used]
+
+
+def sum_blocks(rows: DataFrame, total: int, size: int):
+    """The tasks' tables (block, counts) summed: `total` counts, a fixed size whatever the input's."""
+
+    def run(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
+        summed = sum(np.frombuffer(zlib.decompress(x), np.int64) for x in part["counts"])
+        return pd.DataFrame({"block": [key[0]], "counts": [summed.tobytes()]})
+
+    out = np.zeros((total // size, size), np.int64)
+    for r in rows.select("block", "counts").groupBy("block").applyInPandas(run, "block int, counts binary").collect():
+        out[r["block"]] = np.frombuffer(r["counts"], np.int64)
+    return out.reshape(-1)

@@ -16,7 +16,6 @@ No pair is dropped by any limit: filters are bounds that hold for every linked p
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import sliced, staged
+from .common import count_blocks, sliced, staged, sum_blocks
 
 SLOT_BITS, SLOT_BLOCK = 20, 4096
 SKETCH_WORDS = 8
@@ -100,28 +99,13 @@ def shapes(docs: DataFrame, n: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array([k[0] for k in keys], pa.int64()), pa.array([k[1] for k in keys], pa.int64()), none, pa.nulls(len(sets), pa.binary())], names
             )
-        blocks = counts.reshape(-1, SLOT_BLOCK)
-        used = np.flatnonzero(blocks.any(axis=1))
+        used, packed = count_blocks(counts, SLOT_BLOCK)
         none = pa.nulls(len(used), pa.int64())
-        packed = [zlib.compress(blocks[i].tobytes(), 1) for i in used]
         yield pa.RecordBatch.from_arrays([none, none, none, none, pa.array(used, pa.int32()), pa.array(packed, pa.binary())], names)
 
     return docs.mapInArrow(run, "doc_id long, n long, h1 long, h2 long, block int, counts binary")
 
 
-def slot_counts(rows: DataFrame) -> np.ndarray:
-    """The summed table: 2^SLOT_BITS counts, whatever the input's size."""
-
-    def run(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
-        total = sum(np.frombuffer(zlib.decompress(x), np.int64) for x in part["counts"])
-        return pd.DataFrame({"block": [key[0]], "counts": [total.tobytes()]})
-
-    out = np.zeros((1 << SLOT_BITS) // SLOT_BLOCK * SLOT_BLOCK, np.int64).reshape(-1, SLOT_BLOCK)
-    for r in rows.select("block", "counts").groupBy("block").applyInPandas(run, "block int, counts binary").collect():
-        out[r["block"]] = np.frombuffer(r["counts"], np.int64)
-    return out.reshape(-1)
-
-
 def prefixes(docs: DataFrame, n: int, percent: int, counts) -> DataFrame:
     """doc_id, n, h1, h2, prefix (rarest first), p1, p2 (its hash), sketch, of every document with words."""
 
@@ -269,7 +253,7 @@ def jaccard_join(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text",
     spark: SparkSession = docs.sparkSession
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     shape = staged(shapes(rows, n), "shapes")
-    counts = spark.sparkContext.broadcast(slot_counts(shape.filter("block IS NOT NULL")))
+    counts = spark.sparkContext.broadcast(sum_blocks(shape.filter("block IS NOT NULL"), 1 << SLOT_BITS, SLOT_BLOCK))
     shape = shape.filter("block IS NULL").select("doc_id", "n", "h1", "h2")
     found = prefixes(rows.filter("doc_id IS NOT NULL"), n, percent, counts)
     classes = found.groupBy("h1", "h2", "n").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies"), *[F.first(c).alias(c) for c in ("prefix", "p1", "p2", "sketch")])

@@ -48,15 +48,16 @@ def repeated_words(words: Column) -> Column:
     return F.when(n < 4, F.lit(0).cast("long")).otherwise(let(windows, by_hash))
 
 
-def measured(docs: DataFrame, doc_id: str, text: str, source: str) -> DataFrame:
+def measured(docs: DataFrame, doc_id: str, text: str, source: str, carry: list[str]) -> DataFrame:
     t = F.coalesce(F.col(text), F.lit(""))
-    rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(source).alias("source"), t.alias("t"))
+    rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(source).alias("source"), t.alias("t"), *[F.col(c).alias("_" + c) for c in carry])
+    kept = ["_" + c for c in carry]
     without = lambda s: F.length(F.translate("t", s, "")).cast("long")
     words = F.array_remove(F.split("t", BREAKS, -1), "")
     lines = F.filter(F.split("t", "\n", -1), lambda x: x.rlike(WORD))
     counts = let(words, lambda w: F.struct(F.size(w).cast("long").alias("n_words"), repeated_words(w).alias("n_repeat_words")))
-    rows = rows.select("doc_id", "source", counts.alias("c"), without(SPACE).alias("word_chars"), (F.length("t") - without(SYMBOLS)).cast("long").alias("n_symbols"), let(lines, lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("long").alias("n_dup_lines"))
-    return rows.select("doc_id", "source", "c.n_words", "word_chars", "n_symbols", "n_dup_lines", "c.n_repeat_words")
+    rows = rows.select("doc_id", "source", counts.alias("c"), without(SPACE).alias("word_chars"), (F.length("t") - without(SYMBOLS)).cast("long").alias("n_symbols"), let(lines, lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("long").alias("n_dup_lines"), *kept)
+    return rows.select("doc_id", "source", "c.n_words", "word_chars", "n_symbols", "n_dup_lines", "c.n_repeat_words", *kept)
 
 
 def host_verdicts(rows: DataFrame, limit: float) -> DataFrame:
@@ -74,20 +75,22 @@ def host_verdicts(rows: DataFrame, limit: float) -> DataFrame:
 
 
 def quality_rules(
-    docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", source: str = "source", least_words: int = LEAST_WORDS, most_repeated: int = MOST_REPEATED, host_limit: float = HOST_LIMIT
+    docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", source: str = "source", least_words: int = LEAST_WORDS, most_repeated: int = MOST_REPEATED, host_limit: float = HOST_LIMIT,
+    carry: list[str] | None = None,
 ) -> DataFrame:
     """Counts, base_failed and kept of every row, with its host's shrunk failure rate.
 
     A document is kept if its own rules pass and its host's shrunk rate is below `host_limit`.
     Null text: no words, so it fails. Null source: no host, judged alone. Null and repeated ids
-    and repeated rows are judged row by row. No rows give none; other columns are ignored.
+    and repeated rows are judged row by row. No rows give none. Columns named in `carry` are passed on
+    with `_` before their names; others are ignored.
     """
-    rows = measured(docs, doc_id, text, source)
+    rows = measured(docs, doc_id, text, source, carry or [])
     failed = (F.col("n_words") < least_words) | (100 * F.col("n_repeat_words") > most_repeated * F.col("n_words"))
     rows = staged(rows.withColumn("base_failed", failed), "rules")
     hosts = staged(host_verdicts(rows, host_limit), "host-verdicts")  # of known size: broadcast only if small, else joined with skewed hosts split
     joined = rows.join(hosts, "source", "left")
     return joined.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
-        (~F.col("base_failed") & ~F.coalesce("host_failed", F.lit(False))).alias("kept"), "source", "host_rate",
+        (~F.col("base_failed") & ~F.coalesce("host_failed", F.lit(False))).alias("kept"), "source", "host_rate", *["_" + c for c in carry or []],
     )

@@ -3,14 +3,18 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .bpe import encode_decode
-from .common import table
+from .common import in_training, table
+from .jaccard_join import jaccard_join
 from .packing import pack
+from .quality_crf import fit_quality, score_quality
 from .quality_rules import quality_rules
 from .sql import SQL as SQL
 from .token_store import read_tokens, write_tokens
 from .topk import top_k
+from .toxicity import fit_toxicity, score_toxicity
 from .url_graph import judge_urls
 from .zip_warc import read_archives, write_archives
 
@@ -20,6 +24,16 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"))
 
 
+def held_out(scores: DataFrame) -> DataFrame:
+    return scores.select("doc_id", F.coalesce(~in_training("doc_id"), F.lit(False)).alias("held_out"), "score", "predicted")
+
+
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every whole text, restored through the noisy channel."""
+    docs = table(spark, sf_dir, "documents")
+    return held_out(score_toxicity(docs, fit_toxicity(docs, table(spark, sf_dir, "labels"))))
+
+
 def op3_pivot_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The five best of all vectors for each vector whose id is divisible by 50."""
     return top_k(table(spark, sf_dir, "embeddings"))
@@ -41,6 +55,18 @@ def op6_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_tokens(write_tokens(table(spark, sf_dir, "documents")))
 
 
+def op7_quality_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every whole text from the marginals of its lines."""
+    docs = table(spark, sf_dir, "documents")
+    return held_out(score_quality(docs, fit_quality(docs, table(spark, sf_dir, "labels"))))
+
+
+def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of all documents linked by 3-word shingles at a Jaccard similarity of 90 % or more."""
+    rows = jaccard_join(table(spark, sf_dir, "documents"), n=3, percent=90)
+    return rows.select("doc_id", "n_shingles", "component_id")
+
+
 def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A verdict for every page's url, by rule or by its host's trust and distrust."""
     return judge_urls(table(spark, sf_dir, "pages")).select("page_id", "host", "path", "rule", "verdict")
@@ -52,4 +78,4 @@ def op10_zip_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
-QUERIES = {f.__name__: f for f in (op1_packing, op3_pivot_topk, op4_quality_rules, op5_byte_bpe, op6_token_store, op9_url_filter, op10_zip_warc)}
+QUERIES = {f.__name__: f for f in (op1_packing, op2_toxicity, op3_pivot_topk, op4_quality_rules, op5_byte_bpe, op6_token_store, op7_quality_crf, op8_jaccard_join, op9_url_filter, op10_zip_warc)}

@@ -25,9 +25,12 @@ WITH d AS (
   SELECT row_number() OVER () AS r, doc_id, source, coalesce(text, '') AS t FROM documents
 ), w AS (
   SELECT r, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS w FROM d
+), o AS (
+  SELECT r, unnest(w) AS x, generate_subscripts(w, 1) AS i FROM w
+), q AS (
+  SELECT r, i, x, lead(x, 1) OVER v AS y, lead(x, 2) OVER v AS z FROM o WINDOW v AS (PARTITION BY r ORDER BY i)
 ), g AS (
-  SELECT r, i, count(*) OVER (PARTITION BY r, w[i], w[i + 1], w[i + 2]) AS n
-  FROM (SELECT r, w, unnest(range(1, len(w) - 1)) AS i FROM w WHERE len(w) >= 3)
+  SELECT r, unnest(i) AS i, n FROM (SELECT r, list(i) AS i, count(*) AS n FROM q WHERE z IS NOT NULL GROUP BY r, x, y, z HAVING count(*) > 1)
 ), p AS (
   SELECT r, count(DISTINCT j) AS n_repeat_words
   FROM (SELECT r, unnest([i, i + 1, i + 2]) AS j FROM g WHERE n > 1) GROUP BY r
@@ -117,4 +120,32 @@ FROM j LEFT JOIN t{ROUNDS} r ON r.host = j.host
 """
 
 
-SQL = {"op3_pivot_topk": OP3, "op4_quality_rules": OP4, "op9_url_filter": _op9(), "op10_zip_warc": OP10}
+OP8 = r"""
+WITH RECURSIVE d AS (
+  SELECT DISTINCT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents
+), w AS (
+  SELECT doc_id, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS w FROM d
+), o AS (
+  SELECT doc_id, len(w) AS k, unnest(w) AS x, generate_subscripts(w, 1) AS i FROM w
+), q AS (
+  SELECT doc_id, k, x, lead(x, 1) OVER v AS y, lead(x, 2) OVER v AS z, i FROM o WINDOW v AS (PARTITION BY doc_id ORDER BY i)
+), s AS MATERIALIZED (
+  SELECT DISTINCT doc_id, x, y, z FROM q WHERE k >= 3 AND z IS NOT NULL OR k < 3 AND i = 1
+), n AS MATERIALIZED (
+  SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id
+), c AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS m
+  FROM s a JOIN s b ON a.x = b.x AND a.y IS NOT DISTINCT FROM b.y AND a.z IS NOT DISTINCT FROM b.z AND a.doc_id < b.doc_id
+  GROUP BY a.doc_id, b.doc_id
+), l AS MATERIALIZED (
+  SELECT a, b FROM c JOIN n p ON p.doc_id = a JOIN n r ON r.doc_id = b WHERE 100 * m >= 90 * (p.n + r.n - m)
+), e AS MATERIALIZED (
+  SELECT a, b FROM l UNION SELECT b, a FROM l
+), reach AS (
+  SELECT doc_id AS a, doc_id AS b FROM d UNION SELECT reach.a, e.b FROM reach JOIN e ON e.a = reach.b
+)
+SELECT doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, m AS component_id
+FROM documents LEFT JOIN n USING (doc_id) LEFT JOIN (SELECT a AS doc_id, min(b) AS m FROM reach GROUP BY a) USING (doc_id)
+"""
+
+SQL = {"op8_jaccard_join": OP8, "op3_pivot_topk": OP3, "op4_quality_rules": OP4, "op9_url_filter": _op9(), "op10_zip_warc": OP10}
