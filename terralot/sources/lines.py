@@ -22,20 +22,16 @@ NEEDED = ["id_mutation", "id_parcelle", "date_mutation"]
 def read_raw(spark: SparkSession, paths: list[str] | str) -> DataFrame:
     """All columns as text, with file, ord (place in the file) and, of lines of another width, _corrupt_record.
 
-    A file is read by its own header, so columns may come in any order; a file without the needed
-    columns is an error. A file is one split if it is gzip; ord goes by offset of the split and line.
+    The columns are those of the first file's header, in any order; a header without the needed columns,
+    or another file with another header, is an error. A gzip file is one split; ord goes by split and line.
     """
     paths = sorted(set([paths] if isinstance(paths, str) else paths))
-    head = [r["value"].lstrip("﻿") for r in spark.read.text(paths).withColumn("f", F.col("_metadata.file_path")).groupBy("f").agg(F.min_by("value", F.monotonically_increasing_id()).alias("value")).collect()]
-    headers = {tuple(x.strip().strip('"') for x in h.split(",")) for h in head}
-    for h in headers:
-        if missing := [c for c in NEEDED if c not in h]:
-            raise ValueError(f"columns are missing: {missing}")
-    if len(headers) > 1:
-        raise ValueError("files of one read need one header; read them apart and unite them by name")
-    (columns,) = headers
+    first = spark.read.text(paths).first()
+    columns = [x.strip().strip('"') for x in (first["value"] if first else "").lstrip("\ufeff").split(",")]
+    if missing := [c for c in NEEDED if c not in columns]:
+        raise ValueError(f"columns are missing: {missing}")
     schema = StructType([StructField(c, StringType()) for c in (*columns, "_corrupt_record")])
-    raw = spark.read.csv(paths, schema=schema, header=True, multiLine=True, escape='"', mode="PERMISSIVE", columnNameOfCorruptRecord="_corrupt_record", enforceSchema=True, encoding="UTF-8")
+    raw = spark.read.csv(paths, schema=schema, header=True, multiLine=True, escape='"', mode="PERMISSIVE", columnNameOfCorruptRecord="_corrupt_record", enforceSchema=False, encoding="UTF-8")
     return raw.withColumn("file", F.col("_metadata.file_path")).withColumn("ord", F.monotonically_increasing_id())
 
 

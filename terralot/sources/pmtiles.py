@@ -8,11 +8,12 @@ from __future__ import annotations
 
 import gzip
 import json
+import os
 import struct
 from bisect import bisect_right
 from collections.abc import Iterator
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceReader, EqualTo, In, InputPartition
 from pyspark.sql.types import StructType
 
@@ -176,8 +177,6 @@ def write_archive(tiles: DataFrame, path: str, metadata: dict | None = None, lea
             f.write(part)
         while chunk := b.read(1 << 20):
             f.write(chunk)
-    import os
-
     os.remove(body)
     return {"tiles": n, "entries": len(entries), "bytes": at}
 
@@ -238,6 +237,12 @@ class _Reader(DataSourceReader):
                         yield row(number + k, offset, length)
 
 
+def register(spark: SparkSession) -> None:
+    """Make the format known to a session, with look-ups by filters."""
+    spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
+    spark.dataSource.register(PMTiles)
+
+
 def index_document(directory: DataFrame) -> DataFrame:
     """One JSON document per level: tiles[x][y] = {offset, length}. directory: z, x, y, offset, length."""
     from pyspark.sql import functions as F
