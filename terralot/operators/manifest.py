@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import json
 import re
+from collections.abc import Callable
 from copy import deepcopy
 
 from pyspark.sql import DataFrame
@@ -40,3 +42,30 @@ def newer_than(known: str | None, found: str | None) -> int:
     """Exit code of the edition check: 10 if there is a newer one, else 0."""
     date = lambda s: m[1] if s and (m := EDITION.search(s)) else ""
     return 10 if date(found) > date(known) else 0
+
+
+def load(source: str) -> dict:
+    """A manifest from a file or an http(s) address."""
+    if source.startswith(("http://", "https://")):
+        from urllib.request import urlopen
+
+        with urlopen(source, timeout=60) as f:
+            return json.load(f)
+    with open(source, encoding="utf-8") as f:
+        return json.load(f)
+
+
+LINK = re.compile(r'href="([^"]+)"')
+
+
+def list_editions(fetch: Callable[[int], str], pattern: str, most_pages: int = 29) -> list[str]:
+    """Links of a paginated feed that match, in the order met; `fetch` gives a page's text. Ends with the first page that brings nothing new."""
+    found: dict[str, None] = {}
+    for page in range(1, most_pages + 1):
+        before = len(found)
+        text = fetch(page)
+        seen = LINK.findall(text)
+        found |= dict.fromkeys(x for x in seen if re.search(pattern, x))
+        if len(found) == before:
+            break
+    return list(found)

@@ -32,6 +32,26 @@ def attributes_everywhere(features: DataFrame, keys: list[str], names: list[str]
     return got.select(*keys, lacking.alias("lacking")).filter(F.size("lacking") > 0)
 
 
+def sample_findings(sales: DataFrame) -> DataFrame:
+    """(z, what, severity) of decoded sample tiles' sales: prices absent (error) or below 90 % (warning);
+    address and postcode below 80 % from the exhaustive levels on (error if absent), and present below them (error)."""
+    share = lambda c: F.avg(F.col(c).isNotNull().cast("int")).alias(c)
+    rows = sales.groupBy("z").agg(share("vf"), share("adr"), share("cp"))
+
+    def finding(what: str, error, warning):
+        return F.when(error, F.struct(F.lit(what).alias("what"), F.lit("error").alias("severity"))).when(warning, F.struct(F.lit(what).alias("what"), F.lit("warning").alias("severity")))
+
+    deep = F.col("z") >= 13
+    found = [finding("vf", F.col("vf") == 0, F.col("vf") < 0.9)]
+    found += [finding(c, (deep & (F.col(c) == 0)) | (~deep & (F.col(c) > 0)), deep & (F.col(c) < 0.8)) for c in ("adr", "cp")]
+    return rows.select("z", F.explode(F.array_compact(F.array(*found))).alias("f")).select("z", "f.what", "f.severity")
+
+
+def unequal_versions(manifest_version: str, bundles: DataFrame) -> DataFrame:
+    """Bundles of another version than the manifest's. Columns: dep, version."""
+    return bundles.filter(~F.col("version").eqNullSafe(F.lit(manifest_version)))
+
+
 def price_range(rows: DataFrame, least: int = 1, below: int = 1_000_000_000) -> DataFrame:
     return rows.filter((F.col("vf") < least) | (F.col("vf") >= below))
 

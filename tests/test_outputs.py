@@ -83,6 +83,21 @@ def test_manifest(spark):
     assert manifest.newer_than("x_2024-06-01", "x_2025-01-01") == 10 and manifest.newer_than("x_2024-06-01", "x_2024-06-01") == 0
 
 
+def test_findings(spark):
+    rows = [(14, 1, "a", "c"), (14, None, None, "c"), (13, None, None, None), (12, 5, None, "c")]
+    got = {tuple(r) for r in qa.sample_findings(spark.createDataFrame(rows, "z int, vf long, adr string, cp string")).collect()}
+    assert got == {(14, "vf", "warning"), (14, "adr", "warning"), (13, "vf", "error"), (13, "adr", "error"), (13, "cp", "error"), (12, "cp", "error")}
+    bundles = spark.createDataFrame([("01", "v1"), ("02", "v0"), ("03", None)], "dep string, version string")
+    assert {r["dep"] for r in qa.unequal_versions("v1", bundles).collect()} == {"02", "03"}
+
+
+def test_feed(tmp_path):
+    pages = {1: 'href="iris_2023-01-01.7z" href="other"', 2: 'href="iris_2024-01-01.7z"', 3: 'href="iris_2024-01-01.7z"', 4: 'href="iris_2025-01-01.7z"'}
+    assert manifest.list_editions(lambda n: pages[n], "iris") == ["iris_2023-01-01.7z", "iris_2024-01-01.7z"]
+    (tmp_path / "m.json").write_text('{"version": "v"}')
+    assert manifest.load(str(tmp_path / "m.json")) == {"version": "v"}
+
+
 def test_stream_replaces_periods(spark, tmp_path):
     source, target = str(tmp_path / "in"), str(tmp_path / "out")
     for vf in (1, 2):
