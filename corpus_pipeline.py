@@ -34,7 +34,7 @@ def classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document of the least id of each group of near duplicates (5-word shingles, 80 %), one row
     of each id. Rows without id belong to no group and stay."""
-    groups = jaccard_join(docs)
+    groups = jaccard_join(docs, all_links=False)
     dropped = staged(groups.filter("component_id <> doc_id").select("doc_id").distinct(), "near-duplicates")
     kept = docs.join(dropped, "doc_id", "left_anti")
     again = staged(docs.filter("doc_id IS NOT NULL").groupBy("doc_id").agg(F.count("*").alias("n")).filter("n > 1").select("doc_id"), "repeated-ids")

@@ -9,13 +9,15 @@ that share a prefix shingle are paired; a pair must satisfy the places of the sh
 sizes, and, for groups of one class, a lower bound on the sets' difference (the bits in which their
 parity sketches differ). A shingle of many groups is cut into blocks, and pairs of blocks go to
 different tasks. (5) Groups of pairs left are expanded to their classes, and these verified
-on the whole sets. (6) Components of the links by smallest labels and pointer jumping.
+on the whole sets. (6) Components of the links: stars within
+tasks, then one task if they are few, else smallest labels and pointer jumping.
 
 No pair is dropped by any limit: filters are bounds that hold for every linked pair.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,7 +32,8 @@ from .common import count_blocks, sliced, staged, sum_blocks
 SLOT_BITS, SLOT_BLOCK = 20, 4096
 SKETCH_WORDS = 8
 BLOCK_GROUPS = 512
-LEAST_BLOCKS, BLOCK_BYTES = 64, 16 << 20
+ONE_TASK = 500_000
+LEAST_SIDE, BLOCK_BYTES = 8, 6 << 20
 P1, P2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
 
@@ -128,8 +131,8 @@ def prefixes(docs: DataFrame, n: int, percent: int, counts) -> DataFrame:
     return docs.mapInArrow(run, "doc_id long, n long, h1 long, h2 long, prefix array<long>, p1 long, p2 long, sketch binary")
 
 
-def pairs_of(n: np.ndarray, pos: np.ndarray, side: np.ndarray, sk: np.ndarray, single: np.ndarray, split: bool, percent: int) -> tuple[np.ndarray, np.ndarray]:
-    """Places of the candidate pairs among the groups that share one shingle (of one block or two)."""
+def pairs_of(n: np.ndarray, pos: np.ndarray, side: np.ndarray, sk: np.ndarray, single: np.ndarray, label: np.ndarray, split: bool, percent: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Places of the candidate pairs among the groups that share one shingle (of one block or two), and by how many sketch bits they differ."""
     if split:
         a, b = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
         i, j = np.repeat(a, len(b)), np.tile(b, len(a))
@@ -137,29 +140,52 @@ def pairs_of(n: np.ndarray, pos: np.ndarray, side: np.ndarray, sk: np.ndarray, s
         i, j = np.triu_indices(len(n), 1)
     ni, nj = n[i], n[j]
     need = -(-percent * (ni + nj) // (100 + percent))
-    fine = (100 * np.minimum(ni, nj) >= percent * np.maximum(ni, nj)) & (pos[i] <= ni - need) & (pos[j] <= nj - need)
+    fine = (100 * np.minimum(ni, nj) >= percent * np.maximum(ni, nj)) & (pos[i] <= ni - need) & (pos[j] <= nj - need) & (label[i] != label[j])
     i, j, most = i[fine], j[fine], (ni + nj - 2 * need)[fine]
-    if len(i):
-        differ = np.bitwise_count(sk[i] ^ sk[j]).sum(axis=1)
-        fine = (differ <= most) | ~(single[i] & single[j])
-        i, j = i[fine], j[fine]
-    return i, j
+    differ = np.bitwise_count(sk[i] ^ sk[j]).sum(axis=1)
+    fine = (differ <= most) | ~(single[i] & single[j])
+    return i[fine], j[fine], differ[fine]
 
 
-def candidates(hits: DataFrame, percent: int) -> DataFrame:
-    """(a, b), a < b, of groups; hits come sorted by (token, x, y), each such key bounded."""
+def forest(i: np.ndarray, j: np.ndarray, differ: np.ndarray) -> np.ndarray:
+    """Which of the pairs join what those before them (the least different ones first) leave apart."""
+    root: dict[int, int] = {}
+
+    def top(v: int) -> int:
+        while (up := root.get(v, v)) != v:
+            root[v] = v = root.get(up, up)
+        return v
+
+    keep = []
+    for k in np.argsort(differ, kind="stable").tolist():
+        a, b = top(int(i[k])), top(int(j[k]))
+        if a != b:
+            root[max(a, b)] = min(a, b)
+            keep.append(k)
+    return np.array(keep, np.int64)
+
+
+def candidates(hits: DataFrame, percent: int, few: bool) -> DataFrame:
+    """(a, b), a < b, of groups; hits come sorted by (token, x, y), each such key bounded.
+
+    Pairs of one label aren't candidates: they are known to be connected. few: of the pairs of one key only a spanning forest.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def work(t: pa.Table) -> pa.RecordBatch:
-            token, x, y, block, gid, n, pos, single = (t.column(k).to_numpy() for k in ("token", "x", "y", "block", "gid", "n", "pos", "single"))
+            token, x, y, block, gid, n, pos, single, label = (t.column(k).to_numpy() for k in ("token", "x", "y", "block", "gid", "n", "pos", "single", "label"))
             sk = np.frombuffer(b"".join(t.column("sketch").to_pylist()), np.uint64).reshape(-1, SKETCH_WORDS)
             new = np.flatnonzero((token[1:] != token[:-1]) | (x[1:] != x[:-1]) | (y[1:] != y[:-1])) + 1
             left, right = [], []
             for s, e in zip([0, *new], [*new, len(token)]):
-                if e - s > 1:
-                    i, j = pairs_of(n[s:e], pos[s:e], block[s:e] != x[s], sk[s:e], single[s:e] == 1, x[s] != y[s], percent)
-                    left.append(gid[s:e][i])
-                    right.append(gid[s:e][j])
+                if e - s < 2 or (label[s:e] == label[s]).all():
+                    continue
+                i, j, differ = pairs_of(n[s:e], pos[s:e], block[s:e] != x[s], sk[s:e], single[s:e] == 1, label[s:e], x[s] != y[s], percent)
+                if few and len(i) > 1:
+                    keep = forest(i, j, differ)
+                    i, j = i[keep], j[keep]
+                left.append(gid[s:e][i])
+                right.append(gid[s:e][j])
             p = np.zeros((0, 2), np.int64)
             if left:
                 a, b = np.concatenate(left), np.concatenate(right)
@@ -188,16 +214,33 @@ def candidates(hits: DataFrame, percent: int) -> DataFrame:
     return hits.mapInArrow(run, "a long, b long")
 
 
+def dealt_hits(hits: DataFrame, groups: DataFrame, labels: DataFrame | None) -> DataFrame:
+    """Hits (token, gid, n, pos, c) with their groups' sketches and labels, dealt by shingle; those of a
+    shingle of many groups by pairs of blocks, so that each pair of groups meets in one task."""
+    own = groups.select("gid", "sketch", (F.col("m") == 1).cast("int").alias("single"))
+    rows = hits.join(own, "gid")
+    if labels is None:
+        rows = rows.withColumn("label", F.col("gid"))
+    else:
+        # groups of several classes have no one label
+        rows = rows.join(labels.select(F.col("node").alias("gid"), "component"), "gid", "left").withColumn("label", F.when(F.col("single") == 1, F.coalesce("component", "gid")).otherwise(-F.col("gid") - 1))
+    parts = F.ceil(F.col("c") / BLOCK_GROUPS).cast("int")
+    rows = rows.withColumn("block", F.pmod(F.xxhash64("gid"), parts).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), parts - 1)))
+    rows = rows.select("token", F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y"), "block", "gid", "n", "pos", "single", "label", "sketch")
+    return rows.repartition("token", "x", "y").sortWithinPartitions("token", "x", "y")
+
+
 def verified(docs: DataFrame, pairs: DataFrame, shape: DataFrame, n: int, percent: int) -> DataFrame:
-    """Those pairs (a, b) of documents whose whole sets are similar enough."""
+    """Those pairs (a, b) of documents whose whole sets are similar enough. Pairs are dealt in a square of
+    blocks, so a set goes to no more than two rows of it; about BLOCK_BYTES of sets meet in a block."""
     spark = docs.sparkSession
     size = pairs.count()
     if not size:
         return pairs
     ids = staged(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "to-verify")
     total = shape.join(ids, "doc_id").agg(F.avg("n")).first()[0] or 0
-    blocks = max(LEAST_BLOCKS, int(2 * size * 8 * total) // BLOCK_BYTES)
-    pairs = pairs.withColumn("block", F.pmod(F.xxhash64("a"), F.lit(blocks)))
+    side = max(LEAST_SIDE, math.isqrt(int(size * 16 * total) // BLOCK_BYTES) + 1)
+    pairs = pairs.withColumn("block", F.pmod(F.xxhash64("a"), F.lit(side)) * side + F.pmod(F.xxhash64("b"), F.lit(side)))
     need = pairs.select(F.col("block").alias("home"), F.explode(F.array("a", "b")).alias("doc_id")).distinct()
 
     def to_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -221,13 +264,38 @@ def verified(docs: DataFrame, pairs: DataFrame, shape: DataFrame, n: int, percen
     return pairs.groupBy("block").cogroup(sets.groupBy("home")).applyInPandas(run, "a long, b long")
 
 
+def union_find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(a, b) for every node b of a task's links and the least node a that they connect it with."""
+    root: dict[int, int] = {}
+
+    def top(v: int) -> int:
+        while (up := root.setdefault(v, v)) != v:
+            root[v] = v = root[up]
+        return v
+
+    for batch in batches:
+        for x, y in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            x, y = top(x), top(y)
+            if x != y:
+                root[max(x, y)] = min(x, y)
+    nodes = list(root)
+    for i in range(0, len(nodes), 50_000):
+        some = nodes[i : i + 50_000]
+        yield pa.RecordBatch.from_arrays([pa.array([top(v) for v in some], pa.int64()), pa.array(some, pa.int64())], ["a", "b"])
+
+
 def components(links: DataFrame) -> DataFrame:
     """(node, component): the smallest node reachable over links (a, b), for every linked node.
 
-    Every round takes the least label among neighbours and then the label of that label. A table
-    in the shared folder ends each round; nothing but the count of changes comes to the driver.
+    Each task first replaces its links by stars of the same components. Up to ONE_TASK of these are
+    finished by one task. More go on in rounds that take the least label among neighbours and then the
+    label of that label; a table in the shared folder ends each round, and only counts come to the driver.
     """
-    both = staged(links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "links")
+    stars = staged(links.mapInArrow(union_find, "a long, b long"), "stars")
+    if stars.count() <= ONE_TASK:
+        return staged(stars.repartition(1).mapInArrow(union_find, "component long, node long"), "labels").select("node", "component")
+    stars = stars.filter("a <> b")
+    both = staged(stars.unionByName(stars.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "links")
     labels = staged(both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("node"), F.least("a", "m").alias("component")), "labels")
     while True:
         near = both.join(labels.select(F.col("node").alias("b"), "component"), "b").groupBy("a").agg(F.min("component").alias("m"))
@@ -240,9 +308,13 @@ def components(links: DataFrame) -> DataFrame:
             return labels
 
 
-def jaccard_join(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", n: int = 5, percent: int = 80) -> DataFrame:
+def jaccard_join(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", n: int = 5, percent: int = 80, all_links: bool = True) -> DataFrame:
     """doc_id, n_shingles, component_id, n_links (to classes of other sets) of every row.
 
+    all_links=False: components only, n_links is null. Pairs are then verified in two passes: of the groups
+    that share a shingle first only a spanning forest of the candidate pairs, then every candidate pair
+    that the links found leave in different components. The components are the same.
+
     Rows link when 100 |A and B| >= percent |A or B|. Null and empty texts and texts without words
     have no shingles and link with nothing. A null id links with nothing and has no component. Equal
     rows and rows of equal sets are one class. Rows that share an id are one node of the
@@ -265,24 +337,29 @@ def jaccard_join(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text",
 
     tokens = groups.select("gid", F.col("n").cast("int").alias("n"), F.posexplode("prefix").alias("pos", "token"))
     shared = tokens.groupBy("token").agg(F.count("*").cast("int").alias("c")).filter("c > 1")
-    hits = tokens.join(shared, "token").join(groups.select("gid", "sketch", (F.col("m") == 1).cast("int").alias("single")), "gid")
-    parts = F.ceil(F.col("c") / BLOCK_GROUPS).cast("int")
-    hits = hits.withColumn("block", F.pmod(F.xxhash64("gid"), parts).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), parts - 1)))
-    hits = hits.select("token", F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y"), "block", "gid", "n", "pos", "single", "sketch")
-    hits = hits.repartition("token", "x", "y").sortWithinPartitions("token", "x", "y")
-    paired = staged(candidates(hits, percent).distinct(), "candidates")
-    paired = paired.unionByName(large.select(F.col("gid").alias("a"), F.col("gid").alias("b")))
+    hits = staged(tokens.join(shared, "token"), "hits")
     one, two = members.select(F.col("gid").alias("a"), F.col("rep").alias("ra")), members.select(F.col("gid").alias("b"), F.col("rep").alias("rb"))
-    paired = paired.join(one, "a", "left").join(two, "b", "left").select("a", "b", F.coalesce("ra", "a").alias("ra"), F.coalesce("rb", "b").alias("rb"))
-    paired = paired.filter("a <> b OR ra < rb").select(F.least("ra", "rb").alias("a"), F.greatest("ra", "rb").alias("b")).filter("a <> b")
-    paired = staged(paired.distinct(), "pairs")
-    links = staged(verified(rows, paired, shape, n, percent), "verified")
 
+    def to_pairs(found: DataFrame) -> DataFrame:
+        """Candidate groups expanded to their classes."""
+        found = found.join(one, "a", "left").join(two, "b", "left").select("a", "b", F.coalesce("ra", "a").alias("ra"), F.coalesce("rb", "b").alias("rb"))
+        return found.filter("ra <> rb").select(F.least("ra", "rb").alias("a"), F.greatest("ra", "rb").alias("b")).distinct()
+
+    first = staged(candidates(dealt_hits(hits, groups, None), percent, not all_links).distinct(), "candidates")
+    within = large.select(F.col("gid").alias("a"), F.col("gid").alias("b"))
+    tried = staged(to_pairs(first.unionByName(within)), "pairs")
+    links = staged(verified(rows, tried, shape, n, percent), "verified")
     reps = components(links)
+    if not all_links:
+        rest = staged(candidates(dealt_hits(hits.filter("c > 2"), groups, reps), percent, False).distinct(), "candidates")
+        rest = staged(to_pairs(rest).join(tried, ["a", "b"], "left_anti"), "pairs")
+        if not rest.isEmpty():
+            links = staged(links.unionByName(verified(rows, rest, shape, n, percent)), "verified")
+            reps = components(links)
     degree = links.select(F.explode(F.array("a", "b")).alias("rep")).groupBy("rep").agg(F.count("*").alias("n_links"))
     special = classes.select("h1", "h2", "n", "rep", "copies").join(reps.withColumnRenamed("node", "rep"), "rep", "left").join(degree, "rep", "left")
     special = special.filter("copies > 1 OR component IS NOT NULL").select("h1", "h2", "n", F.coalesce("component", "rep").alias("component"), "n_links")
     special = staged(special, "components")  # of known size: broadcast only if small, else joined with skewed classes split
     out = shape.join(special, ["h1", "h2", "n"], "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))
-    return out.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
+    return out.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"), (F.coalesce("n_links", F.lit(0)) if all_links else F.lit(None).cast("long")).alias("n_links"))

@@ -63,7 +63,7 @@ def op7_quality_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of all documents linked by 3-word shingles at a Jaccard similarity of 90 % or more."""
-    rows = jaccard_join(table(spark, sf_dir, "documents"), n=3, percent=90)
+    rows = jaccard_join(table(spark, sf_dir, "documents"), n=3, percent=90, all_links=False)
     return rows.select("doc_id", "n_shingles", "component_id")
 
 
