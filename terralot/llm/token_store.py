@@ -31,6 +31,7 @@ from .tokens import default_path, library_encoder
 
 MAGIC, BITS, BLOCK = b"TLDAC001", 8, 512
 NULL_ID = -(1 << 63)
+READ_TOKENS = 250_000
 MANIFEST = "partition int, number int, uri string, n_docs long, n_tokens long"
 
 
@@ -111,7 +112,7 @@ class DacFile:
 
 
 def write_tokens(
-    docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", tokenizer: str | None = None, end_id: int = 2, folder: str | None = None, file_tokens: int = 8_000_000
+    docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", tokenizer: str | None = None, end_id: int = 2, folder: str | None = None, file_tokens: int = 2_000_000
 ) -> DataFrame:
     """Encode, sort and write all documents; the manifest of files, with `start`: tokens in the files before.
 
@@ -168,9 +169,10 @@ def read_tokens(manifest: DataFrame, with_ids: bool = False) -> DataFrame:
             for uri, start in zip(b["uri"], b["start"]):
                 f = DacFile(uri)
                 names, first = f.documents()
-                step = 2048
-                for i in range(0, len(names), step):
-                    own, places = names[i : i + step], first[i : i + step + 1]
+                i = 0
+                while i < len(names):  # documents of about READ_TOKENS tokens at a time, one at least
+                    end = max(i + 1, int(np.searchsorted(first, first[i] + READ_TOKENS, side="right")) - 1)
+                    own, places, i = names[i:end], first[i : end + 1], end
                     ids = f.tokens(int(places[0]), int(places[-1]))
                     pieces = [ids[a - places[0] : z - places[0]] for a, z in zip(places, places[1:])]
                     out = {"doc_id": pd.array(own, "Int64"), "start": start + places[:-1], "n_tokens": np.diff(places), "ids_crc32": [zlib.crc32(x.tobytes()) for x in pieces]}

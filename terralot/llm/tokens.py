@@ -12,20 +12,32 @@ import os
 import re
 from collections.abc import Callable
 
+import numpy as np
+
 UNSURE = re.compile(r"\s ")
+#: Marks that end a chunk as a match of their own after its letters.
+MARKS = ".,;:!?*$%&#"
+
+
+def latin_letters(s: str) -> bool:
+    """Only letters, of the first 256 characters: on these all Unicode versions agree."""
+    return s.isalpha() and (s.isascii() or max(s) < "\u0100")
 
 
 class ChunkEncoder:
     """texts -> ids as little-endian unsigned 32-bit bytes. `encode_many` encodes a list of
-    strings for real; at most `entries` chunks are kept."""
+    strings for real. About `entries` chunks are kept, in two generations: when the younger is full
+    it becomes the older, and what was not met since is forgotten."""
 
-    def __init__(self, encode_many: Callable[[list[str]], list[bytes]], entries: int = 300_000, longest: int = 48):
+    def __init__(self, encode_many: Callable[[list[str]], list[bytes]], entries: int = 350_000, longest: int = 48):
         self.encode_many, self.entries, self.longest = encode_many, entries, longest
-        self.kept: dict[str, bytes] = {}
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+        self.tails: dict[str, bytes] = {}
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
-        out: list[bytes | None] = [b""] * len(texts)
-        parts, whole, need = [], [], set()
+        out: list[bytes] = [b""] * len(texts)
+        parts, whole, seen = [], [], set()
         for i, text in enumerate(texts):
             if not text:
                 continue
@@ -34,46 +46,91 @@ class ChunkEncoder:
                 continue
             first, *rest = text.split(" ")
             parts.append((i, first, rest))
-            need.update(rest)
-        kept = self.kept
-        need -= kept.keys()
-        new = list(need)
+            seen.update(rest)
+        if len(self.young) > self.entries // 2:
+            self.old, self.young = self.young, {}
+        young, old = self.young, self.old
+        new = [x for x in seen if x not in young]
+        if old:
+            young.update({x: old[x] for x in new if x in old})
+            new = [x for x in new if x not in old]
+        plain, marked = [], []
+        for x in new:
+            body = x.rstrip(MARKS)
+            if len(body) < len(x) and latin_letters(body):
+                marked.append((x, body, x[len(body) :]))
+            else:
+                plain.append(x)
+        have = set(plain)
+        bodies = list({m[1] for m in marked if m[1] not in young and m[1] not in have})
+        tails = list({m[2] for m in marked if m[2] not in self.tails})
         firsts = list({p[1] for p in parts})
-        made = self.encode_many([" " + x for x in new] + firsts + [texts[i] for i in whole])
-        fresh = dict(zip(new, made))
-        head = dict(zip(firsts, made[len(new):]))
-        for i, ids in zip(whole, made[len(new) + len(firsts):]):
+        asked = [" " + x for x in plain] + [" " + x for x in bodies] + tails + firsts + [texts[i] for i in whole]
+        made = iter(self.encode_many(asked))
+        young.update(zip(plain, made))
+        young.update(zip(bodies, made))
+        if len(self.tails) > 10_000:
+            self.tails = {m[2]: self.tails[m[2]] for m in marked if m[2] in self.tails}
+        self.tails.update(zip(tails, made))
+        head = dict(zip(firsts, made))
+        for i, ids in zip(whole, made):
             out[i] = ids
-        if len(kept) + len(fresh) > self.entries:
-            # the chunks of this batch that were known stay, the others go
-            used = {x for _, _, rest in parts for x in rest}
-            kept = self.kept = {x: kept[x] for x in used & kept.keys()}
-        lookup = kept
-        long_ones = {x: v for x, v in fresh.items() if len(x) > self.longest}
-        if len(kept) + len(fresh) > 2 * self.entries:
-            lookup = {**kept, **fresh}
-        else:
-            kept.update(fresh)
-        get = lookup.__getitem__
+        for x, body, tail in marked:
+            young[x] = young[body] + self.tails[tail]
+        get = young.__getitem__
         for i, first, rest in parts:
             out[i] = head[first] + b"".join(map(get, rest))
-        for x in long_ones:
-            kept.pop(x, None)
+        for x in new:
+            if len(x) > self.longest:
+                del young[x]
         return out
 
 
-def library_encoder(path: str) -> ChunkEncoder:
-    """Encodes with the tokenizers library; strings of special tokens in a text are ordinary text."""
+_encoders: dict[str, ChunkEncoder] = {}
+
+
+def library_encoder(path: str, together: int = 256) -> ChunkEncoder:
+    """Encodes with the tokenizers library; strings of special tokens in a text are ordinary text.
+
+    A space and letters are one match of the pattern, so the library's model gets them as they are. Other
+    short chunks go to the library `together` at a time, with a line break after each: it stands alone
+    before a chunk's space, so its id marks where a chunk's ids end. One encoder a process.
+    """
+    if path in _encoders:
+        return _encoders[path]
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
     t = Tokenizer.from_file(path)
     t.encode_special_tokens = True
+    encode = lambda texts: [array.array("I", e.ids) for e in t.encode_batch_fast(texts, add_special_tokens=False)]
+    (mark,) = encode(["\n"])
+    model = t.model
+    # the vocabulary writes printable bytes as themselves and the others as the characters from 256 on
+    printable = [b for b in range(256) if 33 <= b < 127 or 161 <= b < 173 or b >= 174]
+    letter = {b: chr(b) for b in printable} | {b: chr(256 + i) for i, b in enumerate(b for b in range(256) if b not in set(printable))}
 
     def many(texts: list[str]) -> list[bytes]:
-        return [array.array("I", e.ids).tobytes() for e in t.encode_batch_fast(texts, add_special_tokens=False)]
+        out: list[bytes] = [b""] * len(texts)
+        short, alone = [], []
+        for i, x in enumerate(texts):
+            if x[:1] == " " and latin_letters(x[1:]):
+                out[i] = array.array("I", [k.id for k in model.tokenize(x.encode().decode("latin-1").translate(letter))]).tobytes()
+                continue
+            fine = 1 < len(x) < 100 and x[0] == " " and "\n" not in x and not x[1].isspace() and not x[-1].isspace()
+            (short if fine else alone).append(i)
+        for i, ids in zip(alone, encode([texts[i] for i in alone])):
+            out[i] = ids.tobytes()
+        groups = [short[i : i + together] for i in range(0, len(short), together)]
+        for group, ids in zip(groups, encode(["\n".join([texts[i] for i in g] + [""]) for g in groups])):
+            data, start = ids.tobytes(), 0
+            for i, end in zip(group, np.flatnonzero(np.frombuffer(data, "<u4") == mark[0]).tolist()):
+                out[i] = data[4 * start : 4 * end]
+                start = end + 1
+        return out
 
-    return ChunkEncoder(many)
+    _encoders[path] = ChunkEncoder(many)
+    return _encoders[path]
 
 
 def default_path(name: str) -> str:
