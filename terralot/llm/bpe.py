@@ -84,7 +84,21 @@ def encode_match(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
     return out
 
 
-def bpe_encoder(ranks: dict[bytes, int], pattern: str, entries: int = 200_000) -> ChunkEncoder:
+_encoders: dict[tuple[str, str], tuple[ChunkEncoder, list[bytes]]] = {}
+
+
+def vocabulary_encoder(vocabulary: str, pattern: str) -> tuple[ChunkEncoder, list[bytes]]:
+    """The encoder of a rank file and the bytes of each id; one a process, so that what it keeps serves all its tasks."""
+    if (vocabulary, pattern) not in _encoders:
+        ranks = load_ranks(vocabulary)
+        bytes_of: list[bytes] = [b""] * (max(ranks.values(), default=-1) + 1)
+        for k, v in ranks.items():
+            bytes_of[v] = k
+        _encoders[vocabulary, pattern] = bpe_encoder(ranks, pattern), bytes_of
+    return _encoders[vocabulary, pattern]
+
+
+def bpe_encoder(ranks: dict[bytes, int], pattern: str, entries: int = 400_000) -> ChunkEncoder:
     """Encodes texts match by match; at most `entries` matches and as many chunks are kept."""
     import regex
 
@@ -96,7 +110,6 @@ def bpe_encoder(ranks: dict[bytes, int], pattern: str, entries: int = 200_000) -
             known.clear()
         out = []
         for text in texts:
-            ids = b""
             parts = []
             for match in find(text):
                 ids = known.get(match)
@@ -125,13 +138,8 @@ def encode_decode(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text"
     schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<long>, decoded binary" * with_ids
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ranks = load_ranks(vocabulary)
-        top = max(ranks.values(), default=-1) + 1
-        bytes_of: list[bytes] = [b""] * top
-        for k, v in ranks.items():
-            bytes_of[v] = k
-        decimal = [str(i) for i in range(top)]
-        encoder = bpe_encoder(ranks, pattern)
+        encoder, bytes_of = vocabulary_encoder(vocabulary, pattern)
+        decimal = [str(i) for i in range(len(bytes_of))]
         for b in sliced(batches):
             n, digest, back, kept, raw = [], [], [], [], []
             for data in encoder.encode(b.column(1).to_pylist()):
