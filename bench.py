@@ -11,7 +11,7 @@ from pyspark.sql import SparkSession
 from terralot.plans import catalog, profile
 
 HEADLINE = [
-    "consolidate_lines", "canonical_items", "agg_entity_year_type", "agg_entity_quarter", "agg_grouping_sets", "wide_pivot", "remap_vote", "pip_join_zone", "gps_resolve", "zone_stats",
+    "consolidate_lines", "canonical_items", "agg_entity_year_type", "agg_entity_quarter", "agg_grouping_sets", "wide_pivot", "remap_vote", "pip_join_zone", "gps_resolve_all", "zone_stats",
     "tile_counts", "tile_containment", "viewport_filter", "upper_median", "mvt_roundtrip",
 ]
 

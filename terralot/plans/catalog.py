@@ -402,11 +402,17 @@ def pip_join_zone(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"WITH {SIMPLE}, {EDGES}, g AS (SELECT * FROM s WHERE k % 10 = 0), hit AS ({INSIDE.format(rows='g', on='true')}) SELECT id, arg_min(code, pos) AS code FROM hit GROUP BY id")
 def gps_resolve(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The first zone anywhere that holds a point, by tile keys."""
+    """The first zone anywhere that holds a point, by tile keys. As in its SQL only of every tenth point; `gps_resolve_all` takes all."""
     points = simple(spark, sf_dir).filter("k % 10 = 0").select("id", "lon", "lat")
     return zones.join_anywhere(points, _polygons(spark, sf_dir), 5).select("id", "code")
 
 
+@query(f"WITH {SIMPLE}, {EDGES}, hit AS ({INSIDE.format(rows='s', on='true')}) SELECT id, arg_min(code, pos) AS code FROM hit GROUP BY id")
+def gps_resolve_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first zone anywhere that holds a point, of all points, by tile keys."""
+    return zones.join_anywhere(simple(spark, sf_dir).select("id", "lon", "lat"), _polygons(spark, sf_dir), 5).select("id", "code")
+
+
 @query(f"WITH {JOINED} SELECT code, count(*) AS n_tot, {_med(pm2_med='pm2', vf_med='vf')} FROM j GROUP BY code")
 def zone_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return zones.zone_stats(_joined(spark, sf_dir))

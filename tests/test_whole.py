@@ -3,7 +3,9 @@
 import os
 
 import pytest
+from pyspark.sql import functions as F
 
+from terralot.functions.geo import within
 from terralot.operators import stats
 from terralot.plans import catalog, profile
 
@@ -22,3 +24,13 @@ def test_aligned_years_without_sales(spark):
     rows = spark.createDataFrame([("a", 1996, 2, 7), ("b", 1995, 1, None)], "com string, annee int, n long, pm2_med int")
     got = {r["com"]: (r["n"], r["pm2_med"]) for r in stats.aligned(rows, "com", [1995, 1996, 1997]).collect()}
     assert got == {"a": ([0, 2, 0], [None, 7, None]), "b": ([1, 0, 0], [None, None, None])}
+
+
+@tables
+def test_every_point_is_resolved(spark):
+    """Against every pair of point and polygon, without keys and boxes."""
+    pairs = profile.simple(spark, SF).select("id", "lon", "lat").crossJoin(catalog._polygons(spark, SF))
+    want = pairs.filter(within(F.col("lon"), F.col("lat"), F.col("polys"))).groupBy("id").agg(F.min_by("code", "pos").alias("code")).collect()
+    got = catalog.QUERIES["gps_resolve_all"](spark, SF).collect()
+    assert len(got) == len(want) and {r["id"]: r["code"] for r in got} == {r["id"]: r["code"] for r in want}
+    assert any(int(r["id"]) % 10 for r in got)
