@@ -287,7 +287,7 @@ def semi_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _moves(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Movements made from orders: some codes twice on one date, chains and cycles among 40 codes."""
+    """Movements made from the orders below 60, as in the SQL: some codes twice on one date, chains and cycles among 40 codes."""
     k = F.col("o_orderkey")
     c = lambda v: F.lpad(v.cast("string"), 5, "0")
     return table(spark, sf_dir, "orders").filter(k < 60).select(
@@ -306,35 +306,83 @@ v AS (
 )"""
 
 
+def _moves_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Movements made from all orders, among half as many codes as there are orders; splits re-establish the code 25 above."""
+    orders, k, m = table(spark, sf_dir, "orders"), F.col("o_orderkey"), F.col("m")
+    code = lambda v: F.when(v < 100_000, F.lpad(v.cast("string"), 5, "0")).otherwise(v.cast("string"))
+    size = orders.agg(F.floor(F.count("*") / 2).cast("long").alias("n")).select((F.col("n") + 1).alias("m"))
+    return orders.crossJoin(F.broadcast(size)).select(  # one row
+        F.when(k % 5 == 0, "21").otherwise("32").alias("mod"), F.concat(F.lit("20"), F.lpad((k % 7 + 10).cast("string"), 2, "0"), F.lit("-01-01")).alias("date_eff"), F.when(k % 11 == 0, "COMD").otherwise("COM").alias("typecom_av"),
+        code(k * 7 % m).alias("com_av"), F.lit("COM").alias("typecom_ap"), code(F.when(k % 5 == 0, k * 7 % m + 25).otherwise(k * 13 % m + k % 2)).alias("com_ap"), k.alias("pos"),
+    )
+
+
+def _code_sql(v: str) -> str:
+    return f"CASE WHEN {v} < 100000 THEN lpad(CAST({v} AS VARCHAR), 5, '0') ELSE CAST({v} AS VARCHAR) END"
+
+
+MOVES_ALL = f"""
+v AS (
+  SELECT CASE WHEN o_orderkey % 5 = 0 THEN '21' ELSE '32' END AS mod, '20' || lpad(CAST(o_orderkey % 7 + 10 AS VARCHAR), 2, '0') || '-01-01' AS date_eff, CASE WHEN o_orderkey % 11 = 0 THEN 'COMD' ELSE 'COM' END AS typecom_av,
+    {_code_sql("(o_orderkey * 7 % m)")} AS com_av, 'COM' AS typecom_ap, {_code_sql("(CASE WHEN o_orderkey % 5 = 0 THEN o_orderkey * 7 % m + 25 ELSE o_orderkey * 13 % m + o_orderkey % 2 END)")} AS com_ap, o_orderkey AS pos
+  FROM orders, (SELECT count(*) // 2 + 1 AS m FROM orders)
+), n AS (
+  SELECT com_av, com_ap FROM (SELECT *, row_number() OVER (PARTITION BY com_av ORDER BY date_eff DESC, pos) AS r FROM v WHERE typecom_av = 'COM' AND typecom_ap = 'COM' AND com_av <> com_ap) WHERE r = 1
+)"""
+
+
 @query(f"WITH {MOVES} SELECT com_av, com_ap FROM n")
 def latest_event(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of the movements of `_moves`, as its SQL; `latest_event_all` takes all orders."""
     return recode.latest_events(_moves(spark, sf_dir))
 
 
+@query(f"WITH {MOVES_ALL} SELECT com_av, com_ap FROM n")
+def latest_event_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return recode.latest_events(_moves_all(spark, sf_dir))
+
+
 CHAIN = "h AS (SELECT com_av, com_ap AS tip, 1 AS hops FROM n UNION ALL SELECT h.com_av, n.com_ap, hops + 1 FROM h JOIN n ON n.com_av = h.tip WHERE hops < 8), k AS (SELECT com_av, arg_max(tip, hops) AS target FROM h GROUP BY com_av)"
 
 
 @query(f"WITH RECURSIVE {MOVES}, {CHAIN} SELECT com_av, target FROM k")
 def code_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Where a code's movements lead, cycles cut after eight."""
+    """Where a code's movements lead, cycles cut after eight. Of the movements of `_moves`, as its SQL; `code_chain_all` takes all orders."""
     return recode.code_chains(_moves(spark, sf_dir))
 
 
+@query(f"WITH RECURSIVE {MOVES_ALL}, {CHAIN} SELECT com_av, target FROM k")
+def code_chain_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return recode.code_chains(_moves_all(spark, sf_dir))
+
+
 @query(f"WITH {MOVES} SELECT DISTINCT com_ap AS child, com_av AS parent FROM v WHERE typecom_av = 'COM' AND typecom_ap = 'COM' AND com_av <> com_ap AND mod = '21'")
 def split_children(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of the movements of `_moves`, as its SQL; `split_children_all` takes all orders."""
     return recode.children_of_splits(_moves(spark, sf_dir))
 
 
-def _polygons(spark: SparkSession, sf_dir: str, first: int = 0) -> DataFrame:
-    """Polygons of the nations from `first` on: one or two L-shapes with a hole, on a coarse grid so that they overlap."""
+@query(f"WITH {MOVES_ALL} SELECT DISTINCT com_ap AS child, com_av AS parent FROM v WHERE typecom_av = 'COM' AND typecom_ap = 'COM' AND com_av <> com_ap AND mod = '21'")
+def split_children_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return recode.children_of_splits(_moves_all(spark, sf_dir))
+
+
+#: Communes beyond the nations' codes 0 to 24, without sales.
+MORE = 25
+
+
+def _polygons(spark: SparkSession, sf_dir: str, first: int = 0, more: int = 0) -> DataFrame:
+    """Polygons of the nations from `first` on and of `more` codes after them: one or two L-shapes with a hole, on a coarse grid so that they overlap."""
     k = F.col("n_nationkey").cast("double")
     x0, y0 = k * 13.0 % 60.0 * 6.0 - 180.0, k * 7.0 % 20.0 * 6.0 - 60.0
     pt = lambda dx, dy: F.struct((x0 + dx).alias("x"), (y0 + dy).alias("y"))
     outer = F.array(pt(0.0, 0.0), pt(70.0, 0.0), pt(70.0, 30.0), pt(30.0, 30.0), pt(30.0, 60.0), pt(0.0, 60.0), pt(0.0, 0.0))
     hole = F.array(pt(10.0, 10.0), pt(10.0, 20.0), pt(20.0, 20.0), pt(20.0, 10.0), pt(10.0, 10.0))
-    more = F.array(F.array(pt(80.0, 5.0), pt(100.0, 5.0), pt(90.0, 25.0), pt(80.0, 5.0)))
-    polys = F.when(F.col("n_nationkey") % 2 == 0, F.array(F.array(outer, hole), more)).otherwise(F.array(F.array(outer, hole)))
-    rows = table(spark, sf_dir, "nation").filter(F.col("n_nationkey") >= first)
+    second = F.array(F.array(pt(80.0, 5.0), pt(100.0, 5.0), pt(90.0, 25.0), pt(80.0, 5.0)))
+    polys = F.when(F.col("n_nationkey") % 2 == 0, F.array(F.array(outer, hole), second)).otherwise(F.array(F.array(outer, hole)))
+    rows = table(spark, sf_dir, "nation").select(F.col("n_nationkey").cast("long").alias("n_nationkey")).filter(F.col("n_nationkey") >= first)
+    if more:
+        rows = rows.unionByName(spark.range(25, 25 + more).withColumnRenamed("id", "n_nationkey"))
     return rows.select(F.lpad(F.col("n_nationkey").cast("string"), 5, "0").alias("code"), F.lpad(F.col("n_nationkey").cast("string"), 5, "0").alias("com"), F.concat(F.lit("N"), F.col("n_nationkey").cast("string")).alias("name"), polys.cast(geo.POLYGONS).alias("polys"), F.col("n_nationkey").alias("pos"))
 
 
@@ -348,6 +396,7 @@ ed AS (
   SELECT z.code, z.pos, p, hole, x0 + px AS xj, y0 + py AS yj, x0 + qx AS xi, y0 + qy AS yi
   FROM z, (VALUES {_EDGES}) e(p, hole, px, py, qx, qy) WHERE p = 1 OR z.pos % 2 = 0
 )"""
+EDGES_ALL = EDGES.replace("FROM nation)", f"FROM (SELECT n_nationkey FROM nation UNION ALL SELECT unnest(range(25, {25 + MORE}))))")
 #: {0}: rows with id, lon, lat, and a condition to join them to `ed`.
 INSIDE = """
 SELECT id, code, pos FROM (
@@ -372,18 +421,36 @@ def remap_vote(spark: SparkSession, sf_dir: str) -> DataFrame:
   SELECT com, coalesce(voted, target) AS target, CASE WHEN voted IS NOT NULL THEN 'vote' WHEN target IS NOT NULL THEN 'chain' ELSE 'orphan' END AS how
   FROM (SELECT DISTINCT com FROM s WHERE com < '00009') LEFT JOIN won USING (com) LEFT JOIN chained USING (com)""")
 def remap_mapping(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """How each unknown code is mapped: by vote, by its chain, or not at all."""
+    """How each unknown code is mapped: by vote, by its chain, or not at all. Of the sales of nine codes, as in its SQL; `remap_mapping_all` takes all."""
     return recode.remap(simple(spark, sf_dir).filter("com < '00009'"), _polygons(spark, sf_dir, 20), _moves(spark, sf_dir))[1]
 
 
+@query(f"""WITH RECURSIVE {SIMPLE}, {EDGES}, {MOVES_ALL}, {CHAIN}, u AS (SELECT id, com, lon, lat, row_number() OVER (PARTITION BY com ORDER BY id) AS r FROM s WHERE com < '00020'), g AS (SELECT * FROM u WHERE r <= 7), hit AS ({INSIDE.format(rows="g", on="ed.pos >= 20")}),
+  first AS (SELECT id, arg_min(code, pos) AS code, min(pos) AS pos FROM hit GROUP BY id), votes AS (SELECT com, code, pos, count(*) AS n FROM first JOIN g USING (id) GROUP BY 1, 2, 3),
+  won AS (SELECT com, arg_max(code, n * 1000 - pos) AS voted FROM votes GROUP BY com), chained AS (SELECT com_av AS com, target FROM k WHERE target IN (SELECT code FROM z WHERE pos >= 20))
+  SELECT com, coalesce(voted, target) AS target, CASE WHEN voted IS NOT NULL THEN 'vote' WHEN target IS NOT NULL THEN 'chain' ELSE 'orphan' END AS how
+  FROM (SELECT DISTINCT com FROM s WHERE com NOT IN (SELECT code FROM z WHERE pos >= 20)) LEFT JOIN won USING (com) LEFT JOIN chained USING (com)""")
+def remap_mapping_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How each unknown code of all sales is mapped."""
+    return recode.remap(simple(spark, sf_dir), _polygons(spark, sf_dir, 20), _moves_all(spark, sf_dir))[1]
+
+
 @query(f"""WITH {SIMPLE}, {EDGES}, {MOVES}, d AS (SELECT DISTINCT com_ap AS code, com_av AS com FROM v WHERE typecom_av = 'COM' AND com_av <> com_ap AND mod = '21' AND com_ap NOT IN (SELECT com FROM s WHERE com < '00012')),
   q AS (SELECT id, s.com AS com, lon, lat, d.code AS child FROM s JOIN d USING (com) WHERE s.com < '00012'), hit AS ({INSIDE.format(rows="q", on="ed.code = o.child")})
   SELECT id, arg_min(code, pos) AS com FROM hit GROUP BY id""")
 def reassign_children(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Sales of parents that lie in a re-established commune."""
+    """Sales of parents that lie in a re-established commune. Of the sales of twelve codes, as in its SQL; `reassign_children_all` takes all."""
     return recode.reassign_children(simple(spark, sf_dir).filter("com < '00012'"), _polygons(spark, sf_dir), _moves(spark, sf_dir))
 
 
+@query(f"""WITH {SIMPLE}, {EDGES_ALL}, {MOVES_ALL}, d AS (SELECT DISTINCT com_ap AS code, com_av AS com FROM v WHERE typecom_av = 'COM' AND com_av <> com_ap AND mod = '21' AND com_ap NOT IN (SELECT com FROM s)),
+  q AS (SELECT id, s.com AS com, lon, lat, d.code AS child FROM s JOIN d USING (com)), hit AS ({INSIDE.format(rows="q", on="ed.code = o.child")})
+  SELECT id, arg_min(code, pos) AS com FROM hit GROUP BY id""")
+def reassign_children_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All sales of parents that lie in a re-established commune; these have codes beyond the nations' and no sales of their own."""
+    return recode.reassign_children(simple(spark, sf_dir), _polygons(spark, sf_dir, more=MORE), _moves_all(spark, sf_dir))
+
+
 # --- zones and geometry -----------------------------------------------------------------------
 
 

@@ -34,3 +34,20 @@ def test_every_point_is_resolved(spark):
     got = catalog.QUERIES["gps_resolve_all"](spark, SF).collect()
     assert len(got) == len(want) and {r["id"]: r["code"] for r in got} == {r["id"]: r["code"] for r in want}
     assert any(int(r["id"]) % 10 for r in got)
+
+
+@tables
+def test_movements_of_every_order(spark):
+    n = profile.table(spark, SF, "orders").count()
+    moves = catalog._moves_all(spark, SF)
+    assert moves.count() == n and moves.select("com_av").distinct().count() > n / 4 > 60
+    assert catalog.QUERIES["latest_event_all"](spark, SF).count() > 60
+
+
+@tables
+def test_codes_of_all_sales(spark):
+    mapped = {r["com"] for r in catalog.QUERIES["remap_mapping_all"](spark, SF).collect()}
+    assert mapped == {r["com"] for r in profile.simple(spark, SF).filter("com < '00020'").select("com").distinct().collect()} and max(mapped) > "00009"
+    moved = catalog.QUERIES["reassign_children_all"](spark, SF)
+    parents = {r["com"] for r in profile.simple(spark, SF).join(moved.select("id"), "id").select("com").distinct().collect()}
+    assert max(parents) >= "00012" and not moved.filter("com < '00025'").count()
