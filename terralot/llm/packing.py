@@ -3,9 +3,13 @@
 Method: deficit round-robin over source queues. Every source has a target share of the tokens
 (given weights, or its natural share). A round adds share x window tokens to each queue's deficit
 and serves the queue while its deficit pays for at least `min_piece` tokens, so each window gets
-the target mixture. Deficits run on over windows; over partitions (buckets of about
-`bucket_tokens` tokens, filled by a hash of the document, so that no source or copy group makes
-one large) they are carried on by prefix sums, at most one window of tokens either way.
+the target mixture. Deficits run on over windows.
+
+Partitions (buckets of about `bucket_tokens` tokens) are cut by each source's own cumulative count of
+tokens divided by its share, so every bucket holds the target mixture and documents are cut where a
+bucket ends. A source's cuts are multiples of `min_piece`; what a cut leaves owed is carried on as the
+next bucket's deficit, unclipped. A source's tokens are counted in the order of the input's tasks and
+rows, by prefix sums over tasks, so cuts depend on how the input is dealt; which tokens are packed doesn't.
 """
 
 from __future__ import annotations
@@ -16,7 +20,8 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import prefix_sum, sliced, staged
@@ -27,21 +32,29 @@ PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long,
 
 
 def encoded(docs: DataFrame, tokenizer: str, end_id: int, doc_id: str, text: str, source: str) -> DataFrame:
-    """(doc_id, source, ids, n): ids as little-endian unsigned 16-bit or, for larger vocabularies, 32-bit."""
+    """(doc_id, source, ids, n, part, before): ids as little-endian unsigned 16-bit or, for larger vocabularies, 32-bit;
+    the task, and the tokens of the row's source before it in the task."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = library_encoder(tokenizer)
         end = np.array([end_id], "<u4").tobytes()
+        part = TaskContext.get().partitionId()
+        seen: dict[str, int] = {}
         for b in sliced(batches):
             ids = [x + end for x in encoder.encode(b.column(2).to_pylist())]
             wide = [np.frombuffer(x, "<u4") for x in ids]
             small = [x.astype("<u2").tobytes() if x.max() < 65536 else x.tobytes() for x in wide]
+            before = []
+            for k, x in zip(b.column(1).to_pylist(), wide):
+                before.append(seen.get(k, 0))
+                seen[k] = before[-1] + len(x)
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), b.column(1), pa.array(small, pa.binary()), pa.array([len(x) for x in wide], pa.int64())], ["doc_id", "source", "ids", "n"]
+                [b.column(0), b.column(1), pa.array(small, pa.binary()), pa.array([len(x) for x in wide], pa.int64()), pa.array([part] * len(wide), pa.int64()), pa.array(before, pa.int64())],
+                ["doc_id", "source", "ids", "n", "part", "before"],
             )
 
-    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(source).cast("string").alias("source"), F.col(text).alias("text"))
-    return rows.mapInArrow(run, "doc_id long, source string, ids binary, n long")
+    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(source).cast("string"), F.lit("\x00")).alias("source"), F.col(text).alias("text"))
+    return rows.mapInArrow(run, "doc_id long, source string, ids binary, n long, part long, before long")
 
 
 def windows_of(total: int, window: int) -> Iterator[int]:
@@ -86,29 +99,30 @@ def served(queues: list[list[int]], shares: list[float], deficits: list[float],
         ring = still
 
 
-def packed_bucket(rows: pd.DataFrame, mix: pd.DataFrame, bucket: int, window: int, min_piece: int, with_ids: bool) -> pd.DataFrame:
-    share = {k: (s, c) for k, s, c in zip(mix["source"], mix["share"], mix["carry"])}
-    rows = rows.assign(crc=[zlib.crc32(x) for x in rows["ids"]]).sort_values(["source", "doc_id", "crc"], kind="stable", na_position="first")
+def packed_bucket(rows: pd.DataFrame, bucket: int, window: int, min_piece: int, with_ids: bool) -> pd.DataFrame:
+    rows = rows.assign(crc=[zlib.crc32(x) for x in rows["ids"]]).sort_values(["source", "doc_id", "crc", "first"], kind="stable", na_position="first")
+    share = {k: (s, c) for k, s, c in zip(rows["source"], rows["share"], rows["carry"])}
     names = list(dict.fromkeys(rows["source"]))
     place = {k: i for i, k in enumerate(names)}
     queues: list[list[int]] = [[] for _ in names]
     docs: list[list[tuple]] = [[] for _ in names]
-    for doc_id, source, ids, n in zip(rows["doc_id"], rows["source"], rows["ids"], rows["n"]):
-        if n:
-            q = place[source]
-            queues[q].append(n)
-            docs[q].append((doc_id, np.frombuffer(ids, "<u2" if len(ids) == 2 * n else "<u4").astype("<u4").tobytes()))
+    for doc_id, source, ids, n, first, whole in zip(rows["doc_id"], rows["source"], rows["ids"], rows["n"], rows["first"], rows["whole"]):
+        q = place[source]
+        queues[q].append(n)
+        docs[q].append((doc_id, first, whole, np.frombuffer(ids, "<u2" if len(ids) == 2 * n else "<u4").astype("<u4").tobytes()))
     out = []
     lengths = windows_of(int(rows["n"].sum()), window)
     room = size = next(lengths, 0)
     number = 0
     shares, deficits = [share[k][0] for k in names], [share[k][1] for k in names]
+    if not any(shares):
+        shares = [float(sum(q)) for q in queues]
     for q, i, start, n in served(queues, shares, deficits, window, min_piece):
-        doc_id, ids = docs[q][i]
+        doc_id, first, whole, ids = docs[q][i]
         while n:
             cut = min(n, room)
             piece = ids[4 * start : 4 * (start + cut)]
-            out.append((doc_id, start, cut, zlib.crc32(piece), queues[q][i], (bucket << 32) + number, size - room, names[q], 0, piece if with_ids else None))
+            out.append((doc_id, first + start, cut, zlib.crc32(piece), whole, (bucket << 32) + number, size - room, names[q], 0, piece if with_ids else None))
             start, n, room = start + cut, n - cut, room - cut
             if not room:
                 room = size = next(lengths, 0)
@@ -116,6 +130,62 @@ def packed_bucket(rows: pd.DataFrame, mix: pd.DataFrame, bucket: int, window: in
     return pd.DataFrame(out, columns=[x.split()[0] for x in PIECES.split(", ")])
 
 
+def legs(totals: list[tuple[int, float]]) -> list[tuple[float, float, float]]:
+    """(time, tokens served before, tokens a unit of time) of each stretch in which the same sources last.
+
+    A source of n tokens and share w lasts n / w; in a unit of time each that lasts gives its share.
+    After all of them a unit of time is a token. Totals are pairs (n, w)."""
+    ends = sorted((n / w, w) for n, w in totals if n and w > 0)
+    out, time, done, rate = [], 0.0, 0.0, sum(w for _, w in ends)
+    for i, (end, w) in enumerate(ends):
+        if end > time:
+            out.append((time, done, rate))
+            done += rate * (end - time)
+            time = end
+        rate = sum(x for _, x in ends[i + 1 :])
+    return [*out, (time, done, 1.0)]
+
+
+def along(x: Column, stretches: list[tuple[float, float, float]], back: bool) -> Column:
+    """Tokens served before a time or, back, the time at which so many are served."""
+    at = lambda t, d, r: F.lit(t) + (x - F.lit(d)) / F.lit(r) if back else F.lit(d) + (x - F.lit(t)) * F.lit(r)
+    out = at(*stretches[0])
+    for t, d, r in stretches[1:]:
+        out = F.when(x >= F.lit(d if back else t), at(t, d, r)).otherwise(out)
+    return out
+
+
+def dealt(rows: DataFrame, stretches: list[tuple[float, float, float]], buckets: int, bucket_tokens: int, unit: int) -> DataFrame:
+    """Parts of documents by bucket. rows have `at`, the tokens of their source before them, and of the
+    source all (its tokens), rate (tokens in a unit of time) and since (when it begins)."""
+    ideal = lambda k: F.col("rate") * (along(k * F.lit(float(bucket_tokens)), stretches, True) - F.col("since"))
+
+    def cut(k: Column) -> Column:
+        """The tokens of the source before bucket k."""
+        inside = F.least(F.greatest(F.floor(ideal(k) / F.lit(unit)) * F.lit(unit), F.lit(0)), F.col("all"))
+        return F.when(k <= 0, F.lit(0)).when(k >= F.lit(buckets), F.col("all")).otherwise(inside).cast("long")
+
+    def about(c: Column) -> Column:
+        k = F.floor(along(F.col("since") + c / F.col("rate"), stretches, False) / F.lit(bucket_tokens))
+        return F.least(F.greatest(k, F.lit(0)), F.lit(buckets - 1)).cast("long")
+
+    end = F.col("at") + F.col("n")
+    # a token lies in the bucket its ideal place is in or, as cuts are multiples of the unit, in a later one
+    rows = rows.withColumn("k0", about(F.col("at"))).withColumn("k1", about(end + F.lit(unit)))
+    rows = rows.withColumn("k0", F.when(cut(F.col("k0")) > F.col("at"), F.greatest(F.col("k0") - 1, F.lit(0))).otherwise(F.col("k0")))
+    width = F.floor(F.length("ids") / F.col("n")).cast("int")
+
+    def piece(k: Column) -> Column:
+        start, stop = F.greatest(cut(k), F.col("at")), F.least(cut(k + 1), end)
+        ids = F.substring("ids", ((start - F.col("at")) * width + 1).cast("int"), (F.greatest(stop - start, F.lit(0)) * width).cast("int"))
+        carry = F.when((F.col("share") > 0) & (k > 0), F.greatest(ideal(k) - cut(k), F.lit(0.0))).otherwise(0.0)
+        return F.struct(k.alias("bucket"), (start - F.col("at")).alias("first"), (stop - start).alias("n"), carry.alias("carry"), ids.alias("ids"))
+
+    pieces = F.transform(F.sequence("k0", F.least(F.col("k1") + 1, F.lit(buckets - 1))), piece)  # the whole row of ids is not repeated
+    rows = rows.select("source", "doc_id", F.col("n").alias("whole"), "share", F.explode(pieces).alias("p")).filter("p.n > 0")
+    return rows.select("p.bucket", "source", "doc_id", "whole", "p.first", "p.n", "share", "p.carry", "p.ids")
+
+
 def pack(
     docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", source: str = "source", weights: dict[str, float] | None = None, tokenizer: str | None = None, end_id: int = 0,
     window: int = WINDOW, min_piece: int = 64, bucket_tokens: int = 131_072, with_ids: bool = False,
@@ -132,25 +202,28 @@ def pack(
     spark = docs.sparkSession
     tokenizer = tokenizer or default_path("byte_bpe_50k.json")
     rows = staged(encoded(docs, tokenizer, end_id, doc_id, text, source), "pack-ids")
-    rows = rows.withColumn("source", F.coalesce("source", F.lit("\x00")))
-    total = rows.agg(F.sum("n")).first()[0] or 0
+    counts = staged(rows.groupBy("source", "part").agg(F.sum("n").alias("c")), "pack-counts")
+    total = counts.agg(F.sum("c")).first()[0] or 0
     buckets = max(1, -(-total // bucket_tokens))
-    rows = rows.withColumn("bucket", F.pmod(F.xxhash64("doc_id", "n", "source"), F.lit(buckets)))
-    counts = staged(rows.groupBy("bucket", "source").agg(F.sum("n").alias("c")), "pack-counts")
     of_source = counts.groupBy("source").agg(F.sum("c").alias("all"))
     if weights is None:
-        of_source = of_source.select("source", (F.col("all") / F.lit(max(1, total))).alias("share"))
+        share, stretches = F.col("all") / F.lit(max(1, total)), [(0.0, 0.0, 1.0)]
+        of_source = of_source.select("source", "all", share.alias("share"), share.alias("rate"), F.lit(0.0).alias("since"))
     else:
-        known = spark.createDataFrame([(k, float(v) / sum(weights.values())) for k, v in weights.items()], "source string, share double")
-        of_source = of_source.join(known, "source", "left").select("source", F.coalesce("share", F.lit(0.0)).alias("share"))
-    before = prefix_sum(counts.groupBy("bucket").agg(F.sum("c").alias("t")), [], "bucket", "t", "cum_t").select("bucket", "cum_t")
-    mix = prefix_sum(counts, ["source"], "bucket", "c", "cum_c").join(of_source, "source").join(before, "bucket")
-    owed = F.col("share") * F.col("cum_t") - F.col("cum_c")
-    mix = mix.select("bucket", "source", "share", F.greatest(F.lit(-float(window)), F.least(F.lit(float(window)), owed)).alias("carry"))
-
-    def run(key: tuple, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        return packed_bucket(left, right, int(key[0]), window, min_piece, with_ids)
-
-    pieces = rows.groupBy("bucket").cogroup(mix.groupBy("bucket")).applyInPandas(run, PIECES)
+        known = {k: float(v) / sum(weights.values()) for k, v in weights.items() if v > 0}
+        of_source = of_source.join(F.broadcast(spark.createDataFrame(list(known.items()), "source string, share double")), "source", "left")  # the caller's weights
+        of_source = staged(of_source.select("source", "all", F.coalesce("share", F.lit(0.0)).alias("share")), "pack-sources")
+        stretches = legs([(r["all"], r["share"]) for r in of_source.filter("share > 0").collect()])
+        time, done, _ = stretches[-1]
+        rest = F.col("share") == 0
+        of_source = of_source.withColumn("rate", F.when(rest, F.col("all") / F.lit(max(1.0, total - done))).otherwise(F.col("share"))).withColumn("since", F.when(rest, F.lit(time)).otherwise(0.0))
+    ahead = prefix_sum(counts, ["source"], "part", "c", "ahead").select("source", "part", "ahead")
+    parts = staged(ahead.join(of_source, "source"), "pack-parts")  # of known size: broadcast if small
+    placed = rows.join(parts, ["source", "part"]).withColumn("at", F.col("ahead") + F.col("before"))
+
+    def run(key: tuple, left: pd.DataFrame) -> pd.DataFrame:
+        return packed_bucket(left, int(key[0]), window, min_piece, with_ids)
+
+    pieces = dealt(placed, stretches, buckets, bucket_tokens, max(1, min_piece)).groupBy("bucket").applyInPandas(run, PIECES)
     pieces = pieces.withColumn("source", F.nullif("source", F.lit("\x00")))
     return pieces if with_ids else pieces.drop("ids")

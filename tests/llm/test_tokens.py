@@ -110,6 +110,35 @@ def test_packing(spark, edge, none, library, bucket):
     assert pack(edge, weights={"a": 3.0, "b": 1.0}).count() > 0
 
 
+@pytest.mark.parametrize("weights", [None, {"a": 2.0, "b": 1.0, "c": 1.0}])
+def test_mixture_holds_in_every_bucket(spark, weights):
+    """One long document of a source and many short ones of others, cut at buckets of four windows."""
+    rows = [(1, "word " * 20_000, "a")] + [(10 + i, f"a short line {i} " * 20, "bc"[i % 2]) for i in range(200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(3)
+    got = pack(docs, weights=weights, bucket_tokens=4096).collect()
+    of_source, of_window, where = defaultdict(int), defaultdict(lambda: defaultdict(int)), defaultdict(list)
+    for r in got:
+        of_source[r["source"]] += r["length"]
+        of_window[r["sequence_id"]][r["source"]] += r["length"]
+        where[r["doc_id"]].append((r["start"], r["length"], r["doc_tokens"]))
+    for pieces in where.values():
+        ends = [0] + [a + n for a, n, _ in sorted(pieces)]
+        assert [a for a, _, _ in sorted(pieces)] == ends[:-1] and ends[-1] == pieces[0][2]
+    total = sum(of_source.values())
+    want = {k: n / total for k, n in of_source.items()} if weights is None else {k: w / 4 for k, w in weights.items()}
+    lasting = min(of_source[k] / want[k] for k in want)  # as long as no source has run out
+    seen = off = 0
+    for _, w in sorted(of_window.items()):
+        n = sum(w.values())
+        if seen + n > lasting:
+            break
+        seen += n
+        if n == 1024 and any(abs(w[k] / n - want[k]) > 0.15 for k in want):
+            off += n
+    assert seen > 20_000 and off < 0.05 * seen
+    assert max(s >> 32 for s in of_window) >= total // 4096 - 1
+
+
 def test_codes():
     r = np.random.default_rng(1)
     ids = np.concatenate([r.integers(0, 256, 3000), r.integers(0, 70_000, 3000), [0, 255, 256, 65535, 65536, 2**32 - 1]]).astype("<u4")
