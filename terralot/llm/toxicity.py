@@ -33,9 +33,16 @@ OTHER = len(LETTERS) + 1
 LOOKS = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "g", "7": "t", "8": "b", "9": "g", "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "€": "e", "£": "l", "(": "c", "¡": "i"}
 SIGNS, GAPS, EDGES = set("*#%&@$!|+€£(¡~^=_-.'"), set(" .-_*/"), ".,;:?\"'()[]{}<>«»…"
 LOOK_COST, DROP_OUTER, DROP_INNER, KEEP_SIGN, ONE_OF_TWO, ONE_OF_MANY, APART = 1.0, 1.0, 12.0, 9.0, 2.0, 0.5, 3.0
-ODD = re.compile(r"[^\W\d_].*[0-9@$!|+€£(¡*#%&]|[0-9@$!|+€£(¡*#%&].*[^\W\d_]|([^\W\d_])\1|[^\W_][.\-_*/][^\W_]")
+LETTER, SIGN = re.compile(r"[^\W\d_]"), re.compile(r"[0-9@$!|+€£(¡*#%&]")
+TWICE_OR_APART = re.compile(r"([^\W\d_])\1|[^\W_][.\-_*/][^\W_]")
 SPACED = re.compile(r"(?<![^\W_])[^\W_](?:[ .\-_*/]{1,2}[^\W_]){2,}(?![^\W_])")
-LONGEST = 64
+#: Tokens up to this length are cached; longer ones are decoded each time.
+CACHED = 64
+
+
+def odd(token: str) -> bool:
+    """Whether a token has letters beside signs or digits, a letter twice, or letters set apart. Linear in its length."""
+    return bool(LETTER.search(token) and SIGN.search(token) or TWICE_OR_APART.search(token))
 
 
 def class_table() -> np.ndarray:
@@ -102,7 +109,7 @@ class Restorer:
         return out
 
     def decode(self, token: str) -> str:
-        """Viterbi over the lattice; a state is the last two letter classes."""
+        """Viterbi over the lattice; a state is the last two letter classes. Linear in the length: readings are kept by back-pointers."""
         runs: list[list] = []
         for c in token:
             if runs and runs[-1][0] == c:
@@ -110,11 +117,11 @@ class Restorer:
             else:
                 runs.append([c, 1])
         model, number = self.model, self.number
-        states: dict[int, tuple[float, str]] = {0: (0.0, "")}
+        states: dict[int, tuple[float, tuple | None]] = {0: (0.0, None)}
         last = len(runs) - 1
         for i, (c, n) in enumerate(runs):
             options = [(cost, read, [number.get(x, OTHER if x.isalpha() else 0) for x in read]) for cost, read in self.options(c, n, 0 < i < last)]
-            new: dict[int, tuple[float, str]] = {}
+            new: dict[int, tuple[float, tuple | None]] = {}
             for state, (value, text) in states.items():
                 for cost, read, classes in options:
                     now, at = value - cost, state
@@ -124,9 +131,14 @@ class Restorer:
                         at &= 0xFFF
                     known = new.get(at)
                     if known is None or now > known[0]:
-                        new[at] = (now, text + read)
+                        new[at] = (now, (read, text))
             states = new
-        return max((value + model[at << 6], text) for at, (value, text) in states.items())[1]
+        text = max(((value + model[at << 6], text) for at, (value, text) in states.items()), key=lambda x: x[0])[1]
+        reads = []
+        while text is not None:
+            read, text = text
+            reads.append(read)
+        return "".join(reversed(reads))
 
     def words(self, token: str) -> list[str]:
         """The words a lower-case token stands for: as it is without outer marks, and as restored if it looks disguised."""
@@ -134,11 +146,11 @@ class Restorer:
         if known is None:
             plain = token.strip(EDGES)
             known = [plain] if plain else []
-            if len(token) <= LONGEST and ODD.search(token):
+            if odd(token):
                 known += [x for x in (y.strip(EDGES + "!*") for y in self.decode(token.strip(EDGES)).split()) if x and x != plain]
             if len(self.kept) > 400_000:
                 self.kept.clear()
-            if len(token) <= LONGEST:
+            if len(token) <= CACHED:
                 self.kept[token] = known
         return known
 
@@ -146,15 +158,13 @@ class Restorer:
         """Words read from letters set apart by separators, in a lower-case text."""
         out = []
         for m in SPACED.finditer(text):
-            span = m[0]
-            for i in range(0, len(span), LONGEST):  # a long row of letters is read piece by piece
-                out += [x for x in self.decode(span[i : i + LONGEST]).split() if len(x) > 2]
+            out += [x for x in self.decode(m[0]).split() if len(x) > 2]
         return out
 
     def restored(self, text: str) -> str:
         """The whole text in lower case with disguised tokens and spans restored."""
-        text = SPACED.sub(lambda m: " ".join(self.decode(m[0][i : i + LONGEST]) for i in range(0, len(m[0]), LONGEST)), text.lower())
-        return re.sub(r"\S+", lambda m: self.decode(m[0]) if len(m[0]) <= LONGEST and ODD.search(m[0].strip(EDGES)) else m[0], text)
+        text = SPACED.sub(lambda m: self.decode(m[0]), text.lower())
+        return re.sub(r"\S+", lambda m: self.decode(m[0]) if odd(m[0].strip(EDGES)) else m[0], text)
 
 
 def features(word: str) -> list[str]:
@@ -176,7 +186,7 @@ class Scorer:
             value = max((get(f, 0.0) for w in self.restorer.words(token) for f in features(w)), default=0.0)
             if len(self.kept) > 400_000:
                 self.kept.clear()
-            if len(token) <= LONGEST:
+            if len(token) <= CACHED:
                 self.kept[token] = value
         return value
 

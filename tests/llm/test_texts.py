@@ -155,6 +155,22 @@ def test_viterbi_against_all_readings(spark):
         assert np.isclose(every[restorer.decode(token)], top)
 
 
+@pytest.fixture(scope="module")
+def reader(spark):
+    text = "you are a stupid idiot and a pathetic loser who talks trash about a moron"
+    return Restorer(log_model(trigram_counts(spark.createDataFrame([(text,)] * 30, "text string"))))
+
+
+def test_long_disguises(reader):
+    assert "idiot" in reader.words("idi" + "o" * 65 + "t")
+    phrase = "you are a stupid idiot and a pathetic loser who talks trash"
+    joined = ".".join(phrase.replace(" ", ""))
+    assert len(joined) > 64 and {"pathetic", "trash"} <= set(reader.words(joined))
+    apart = " ".join(phrase.replace(" ", "") * 40)
+    assert reader.spans(apart).count("pathetic") == 40 and reader.restored(apart).count("pathetic") == 40
+    assert reader.words("ab" * 100_000 + "c") and reader.words("a1b" * 30_000)  # in linear time
+
+
 @pytest.mark.parametrize("n,percent", [(3, 90), (5, 80)])
 @pytest.mark.parametrize("all_links", [True, False])
 def test_jaccard_against_brute_force(spark, edge, none, monkeypatch, n, percent, all_links):
