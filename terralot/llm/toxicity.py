@@ -35,7 +35,13 @@ SIGNS, GAPS, EDGES = set("*#%&@$!|+€£(¡~^=_-.'"), set(" .-_*/"), ".,;:?\"'()
 LOOK_COST, DROP_OUTER, DROP_INNER, KEEP_SIGN, ONE_OF_TWO, ONE_OF_MANY, APART = 1.0, 1.0, 12.0, 9.0, 2.0, 0.5, 3.0
 LETTER, SIGN = re.compile(r"[^\W\d_]"), re.compile(r"[0-9@$!|+€£(¡*#%&]")
 TWICE_OR_APART = re.compile(r"([^\W\d_])\1|[^\W_][.\-_*/][^\W_]")
-SPACED = re.compile(r"(?<![^\W_])[^\W_](?:[ .\-_*/]{1,2}[^\W_]){2,}(?![^\W_])")
+_MARKS = "".join(map(re.escape, (c for c in LOOKS if not c.isalnum())))
+#: Units set apart: letters, digits and look-alike signs, each alone, with any run of white space or
+#: punctuation between them. A bar is a unit where gaps stand around it, else a gap. Runs are
+#: possessive, so a text is matched in linear time.
+_UNIT, _GAP = rf"(?:[^\W_]|[{_MARKS}])(?![^\W_])", rf"(?:(?![{_MARKS}])[\W_])"
+SPACED = re.compile(rf"(?<![^\W_]){_UNIT}(?:(?>{_GAP}++{_UNIT}|{_GAP}*+\|++{_GAP}*+{_UNIT})){{2,}}+")
+GAP_OR_UNIT = re.compile(rf"{_GAP}++{_UNIT}|{_GAP}*+\|++{_GAP}*+{_UNIT}")
 #: Tokens up to this length are cached; longer ones are decoded each time.
 CACHED = 64
 
@@ -91,8 +97,10 @@ class Restorer:
         self.number = {c: i + 1 for i, c in enumerate(LETTERS)}
         self.kept: dict[str, list[str]] = {}
 
-    def options(self, c: str, n: int, inner: bool) -> list[tuple[float, str]]:
-        """(cost, what is read) for a run of n equal characters."""
+    def options(self, c: str, n: int, inner: bool, apart: bool = False) -> list[tuple[float, str]]:
+        """(cost, what is read) for a run of n equal characters; apart: of a span as `canonical` writes it."""
+        if apart and c in " \n":
+            return [(0.0, ""), (APART if c == " " else 0.0, " ")]
         if c.isalpha():
             if n == 1:
                 return [(0.0, c)]
@@ -102,13 +110,15 @@ class Restorer:
             out.append((LOOK_COST, x))
             if n > 1:
                 out.append((LOOK_COST, x + x))
+        if apart and c == "|":
+            return [*out, (LOOK_COST, "")]
         if inner and c in GAPS:
             return [*out, (0.0, ""), (APART, " ")]
         if c in SIGNS or c.isdigit():
             out.append((DROP_INNER if inner or c.isdigit() else DROP_OUTER, ""))
         return out
 
-    def decode(self, token: str) -> str:
+    def decode(self, token: str, apart: bool = False) -> str:
         """Viterbi over the lattice; a state is the last two letter classes. Linear in the length: readings are kept by back-pointers."""
         runs: list[list] = []
         for c in token:
@@ -120,7 +130,7 @@ class Restorer:
         states: dict[int, tuple[float, tuple | None]] = {0: (0.0, None)}
         last = len(runs) - 1
         for i, (c, n) in enumerate(runs):
-            options = [(cost, read, [number.get(x, OTHER if x.isalpha() else 0) for x in read]) for cost, read in self.options(c, n, 0 < i < last)]
+            options = [(cost, read, [number.get(x, OTHER if x.isalpha() else 0) for x in read]) for cost, read in self.options(c, n, 0 < i < last, apart)]
             new: dict[int, tuple[float, tuple | None]] = {}
             for state, (value, text) in states.items():
                 for cost, read, classes in options:
@@ -154,16 +164,25 @@ class Restorer:
                 self.kept[token] = known
         return known
 
+    def canonical(self, span: str) -> str | None:
+        """A span's units with a blank for each gap, and a line break for a gap longer than the least one. None with fewer than two letters."""
+        if len(LETTER.findall(span)) < 2:
+            return None
+        steps = [m[0] for m in GAP_OR_UNIT.finditer(span, 1)]
+        least = min(map(len, steps))
+        return span[0] + "".join((" " if len(x) == least else "\n") + x[-1] for x in steps)
+
+    def read_span(self, span: str) -> str:
+        text = self.canonical(span)
+        return span if text is None else self.decode(text, True)
+
     def spans(self, text: str) -> list[str]:
         """Words read from letters set apart by separators, in a lower-case text."""
-        out = []
-        for m in SPACED.finditer(text):
-            out += [x for x in self.decode(m[0]).split() if len(x) > 2]
-        return out
+        return [x for m in SPACED.finditer(text) for x in (y.strip(EDGES) for y in self.read_span(m[0]).split()) if len(x) > 2]
 
     def restored(self, text: str) -> str:
         """The whole text in lower case with disguised tokens and spans restored."""
-        text = SPACED.sub(lambda m: self.decode(m[0]), text.lower())
+        text = SPACED.sub(lambda m: self.read_span(m[0]), text.lower())
         return re.sub(r"\S+", lambda m: self.decode(m[0]) if odd(m[0].strip(EDGES)) else m[0], text)
 
 

@@ -161,6 +161,21 @@ def reader(spark):
     return Restorer(log_model(trigram_counts(spark.createDataFrame([(text,)] * 30, "text string"))))
 
 
+@pytest.mark.parametrize("text, word", [
+    ("i d ! o t", "idiot"), ("t r @ s h", "trash"), ("l o $ e r", "loser"), ("$ t u p i d", "stupid"), ("p @ t h e t i c", "pathetic"), ("m 0 r 0 n", "moron"), ("s   t   u   p   i   d", "stupid"),
+    ("t\tr\ta\ts\th", "trash"), ("l\no\ns\ne\nr", "loser"), ("s,t,u,p,i,d", "stupid"), ("s|t|u|p|i|d", "stupid"), ("s | t | u | p | i | d", "stupid"), ("p . @ , t - h | e . t ! c", "pathetic"),
+    ("s t u p i d   l o s e r", "stupid loser"),
+])
+def test_combined_disguises(reader, text, word):
+    assert set(word.split()) <= set(reader.spans(f"who talks {text} about")) and word in reader.restored(f"who talks {text} about")
+    assert reader.restored("who talks, about: a moron") == "who talks, about: a moron" and reader.restored("| - | - |") == "| - | - |"
+
+
+def test_spans_in_linear_time(reader):
+    for text in ("| " * 100_000, "a |" * 50_000 + "bb", "! , " * 50_000 + "x1"):
+        reader.spans(text)
+
+
 def test_long_disguises(reader):
     assert "idiot" in reader.words("idi" + "o" * 65 + "t")
     phrase = "you are a stupid idiot and a pathetic loser who talks trash"
