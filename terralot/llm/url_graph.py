@@ -1,9 +1,11 @@
 """URL filters: rules by host and path, and link-graph propagation for the hosts no rule settles.
 
 Method: personalised PageRank spreads trust from trusted seeds along host links, and distrust from
-blocked seeds against them; each host is judged by thresholds on the two. A host's seed weights are
-the shares of its pages that the rules allow and block. A host without links on the way out keeps
-its mass. DataFrame functions only.
+blocked seeds against them. A host's seed weights are the shares of its pages that the rules allow
+and block. A host without links on the way out keeps its mass. Each host is judged by thresholds on
+shares, which don't depend on how many hosts or links there are: of the mass that reaches it over
+links, the part that comes from seeds, compared with a walk that starts from every host alike; or its
+own seed weight where that is more. DataFrame functions only.
 """
 
 from __future__ import annotations
@@ -18,7 +20,7 @@ RULES = [("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 HOST, PATH = r"(?s)^.*?://([^/?#]*)", r"(?s)^.*?://[^/?#]*([^?#]*)"
 LINK = r"""(?:href|HREF|Href|src|SRC)\s*=\s*["']?\s*((?:[A-Za-z][A-Za-z0-9+.-]*:)?//[^"'\s>]+)"""
-DAMPING, ROUNDS, BLOCK_FROM = 0.85, 10, 0.5
+DAMPING, ROUNDS, BLOCK_FROM, TOLERANCE = 0.85, 10, 0.5, 1e-3
 
 
 def host_of(url: Column) -> Column:
@@ -47,40 +49,54 @@ def host_links(pages: DataFrame, host: str, html: str) -> DataFrame:
     return links.groupBy("src", "dst").agg(F.count("*").alias("n"))
 
 
-def propagate(seeds: DataFrame, links: DataFrame, damping: float = DAMPING, rounds: int = ROUNDS) -> DataFrame:
-    """(host, trust, distrust) from seeds (host, trust, distrust) over links (src, dst, n)."""
+def propagate(seeds: DataFrame, links: DataFrame, damping: float = DAMPING, rounds: int | None = ROUNDS, tolerance: float = TOLERANCE) -> DataFrame:
+    """(host, trust, distrust, trust_share, distrust_share) from seeds (host, trust, distrust) over links (src, dst, n).
+
+    rounds=None: until no mass changes by more than `tolerance` of the mass of the unseeded walk; a mass that stays is then summed at once."""
     if links.isEmpty():
-        return seeds
+        return seeds.select("host", "trust", "distrust", F.col("trust").alias("trust_share"), F.col("distrust").alias("distrust_share"))
     linked = links.select(F.col("src").alias("host")).union(links.select(F.col("dst").alias("host"))).distinct()
     nodes = linked.join(seeds, "host", "full").select("host", F.coalesce("trust", F.lit(0.0)).alias("t0"), F.coalesce("distrust", F.lit(0.0)).alias("d0"))
     out, into = links.groupBy("src").agg(F.sum("n").alias("all_out")), links.groupBy("dst").agg(F.sum("n").alias("all_in"))
     nodes = nodes.join(out.withColumnRenamed("src", "host"), "host", "left").join(into.withColumnRenamed("dst", "host"), "host", "left")
-    nodes = staged(nodes, "hosts")
+    nodes = staged(nodes.withColumns({"v0": F.lit(1.0), "u0": F.lit(1.0)}), "hosts")
     edges = staged(links, "host-links")
-    now = nodes.select("host", F.col("t0").alias("trust"), F.col("d0").alias("distrust"), "all_out", "all_in")
-    for _ in range(rounds):
-        held = now.select("host", "trust", "distrust", "all_out", "all_in")
-        onward = edges.join(held, edges.src == held.host).select(F.col("dst").alias("host"), (F.col("trust") * F.col("n") / F.col("all_out")).alias("t"), F.lit(0.0).alias("d"))
-        back = edges.join(held, edges.dst == held.host).select(F.col("src").alias("host"), F.lit(0.0).alias("t"), (F.col("distrust") * F.col("n") / F.col("all_in")).alias("d"))
-        stays = held.select("host", F.when(F.col("all_out").isNull(), F.col("trust")).otherwise(0.0).alias("t"), F.when(F.col("all_in").isNull(), F.col("distrust")).otherwise(0.0).alias("d"))
-        got = onward.unionByName(back).unionByName(stays).groupBy("host").agg(F.sum("t").alias("t"), F.sum("d").alias("d"))
-        now = nodes.join(got, "host", "left").select(
-            "host",
-            (F.lit(1 - damping) * F.col("t0") + F.lit(damping) * F.coalesce("t", F.lit(0.0))).alias("trust"),
-            (F.lit(1 - damping) * F.col("d0") + F.lit(damping) * F.coalesce("d", F.lit(0.0))).alias("distrust"),
-            "all_out", "all_in",
-        )
-        now = staged(now, "ranks")
-    return now.select("host", "trust", "distrust")
+    # trust and its unseeded walk v go along links, distrust and u against them
+    along, against = ("t", "v"), ("d", "u")
+    zero = lambda names: [F.lit(0.0).alias(x) for x in names]
+    now = nodes.select("*", *[F.col(f"{x}0").alias(x) for x in along + against])
+    left = rounds
+    while left is None or left > 0:
+        onward = edges.join(now, edges.src == now.host).select(F.col("dst").alias("host"), *[(F.col(x) * F.col("n") / F.col("all_out")).alias(x) for x in along], *zero(against))
+        back = edges.join(now, edges.dst == now.host).select(F.col("src").alias("host"), *zero(along), *[(F.col(x) * F.col("n") / F.col("all_in")).alias(x) for x in against])
+        got = onward.unionByName(back).groupBy("host").agg(*[F.sum(x).alias(f"got_{x}") for x in along + against])
+        last = now.select("host", *[F.col(x).alias(f"last_{x}") for x in along + against])
+        now = nodes.join(got, "host", "left").join(last, "host").fillna(0.0, [f"got_{x}" for x in along + against])
+
+        def mass(x: str) -> Column:
+            ends, seed, came = F.col("all_out" if x in along else "all_in").isNull(), F.col(f"{x}0"), F.col(f"got_{x}")
+            stays = seed + F.lit(damping / (1 - damping)) * came if rounds is None else F.lit(1 - damping) * seed + F.lit(damping) * (came + F.col(f"last_{x}"))
+            return F.when(ends, stays).otherwise(F.lit(1 - damping) * seed + F.lit(damping) * came).alias(x)
+
+        now = staged(now.select("*", *[mass(x) for x in along + against]), "ranks")
+        if left is None:
+            moved = [F.abs(F.col(x) - F.col(f"last_{x}")) > F.lit(tolerance) * F.col(walk) for x, walk in (("t", "v"), ("v", "v"), ("d", "u"), ("u", "u"))]
+            if now.filter(moved[0] | moved[1] | moved[2] | moved[3]).isEmpty():
+                break
+        else:
+            left -= 1
+        now = now.select(*nodes.columns, *[x for x in along + against], *[f"got_{x}" for x in along + against])
+    share = lambda x, walk: F.greatest(F.col(f"{x}0"), F.when(F.col(f"got_{walk}") > 0, F.col(f"got_{x}") / F.col(f"got_{walk}")).otherwise(0.0))
+    return now.select("host", F.col("t").alias("trust"), F.col("d").alias("distrust"), share("t", "v").alias("trust_share"), share("d", "u").alias("distrust_share"))
 
 
 def judge_urls(
-    pages: DataFrame, *, page_id: str = "page_id", url: str = "url", html: str = "html", rules: list[tuple[str, str]] = RULES, damping: float = DAMPING, rounds: int = ROUNDS, block_from: float = BLOCK_FROM
+    pages: DataFrame, *, page_id: str = "page_id", url: str = "url", html: str = "html", rules: list[tuple[str, str]] = RULES, damping: float = DAMPING, rounds: int | None = None, block_from: float = BLOCK_FROM
 ) -> DataFrame:
     """page_id, host, path, rule, verdict, and the host's trust and distrust, for every row.
 
-    A page without a rule is blocked if its host's distrust is above its trust and at least
-    `block_from`. Null urls and urls without `://` have empty host and path, fit no rule and are
+    A page without a rule is blocked if its host's share of distrust is above its share of trust and at
+    least `block_from`. Null urls and urls without `://` have empty host and path, fit no rule and are
     allowed. Null html has no links. Rows are judged one by one, repeated and null ids too.
     """
     rows = pages.select(F.col(page_id).alias("page_id"), host_of(F.col(url)).alias("host"), path_of(F.col(url)).alias("path"), F.col(html).alias("html"))
@@ -91,5 +107,5 @@ def judge_urls(
     seeds = judged.filter("host <> ''").groupBy("host").agg(share("allow").alias("trust"), share("block").alias("distrust"))
     hosts = staged(propagate(seeds, links, damping, rounds), "host-verdicts")  # of known size: broadcast only if small, else joined with skewed hosts split
     joined = judged.join(hosts, "host", "left")
-    spread = F.when((F.col("distrust") > F.col("trust")) & (F.col("distrust") >= block_from), F.lit("block")).otherwise(F.lit("allow"))
+    spread = F.when((F.col("distrust_share") > F.col("trust_share")) & (F.col("distrust_share") >= block_from), F.lit("block")).otherwise(F.lit("allow"))
     return joined.select("page_id", "host", "path", "rule", F.coalesce("ruled", spread).alias("verdict"), "trust", "distrust")

@@ -89,6 +89,21 @@ def test_spread_blocks_hosts_that_link_to_blocked_ones(spark):
     assert got == {0: "block", 1: "block", 2: "block", 10: "block", 11: "allow"}
 
 
+@pytest.mark.parametrize("linkers", [1, 2, 10, 40])
+def test_spread_does_not_thin_out_with_more_linkers(spark, linkers):
+    bad, mixed = '<a href="http://bad.net/1">', '<a href="http://bad.net/1">' + '<a href="http://other.com/">' * 9
+    rows = [(i, f"http://farm{i}.com/", bad) for i in range(linkers)] + [(100, "http://bad.net/1", None), (101, "http://mixed.com/", mixed), (102, "http://fan.com/", '<a href="http://farm0.com/">')]
+    got = {g["page_id"]: g["verdict"] for g in judge_urls(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert all(got[i] == "block" for i in range(linkers)) and got[100] == "block" and got[101] == "allow"
+
+
+def test_spread_passes_ten_hops(spark):
+    links = spark.createDataFrame([(f"h{i}", f"h{i + 1}", 1) for i in range(14)], "src string, dst string, n long")
+    seeds = spark.createDataFrame([("h0", 1.0, 0.0)], "host string, trust double, distrust double")
+    got = {x["host"]: x["trust"] for x in propagate(seeds, links, rounds=None, tolerance=1e-9).collect()}
+    assert all(np.isclose(got[f"h{i}"], 0.15 * 0.85**i) for i in range(14)) and np.isclose(got["h14"], 0.85**14)
+
+
 @pytest.mark.parametrize("zip64", [False, True])
 def test_archives(spark, tmp_path, zip64):
     big = "x" * 150
