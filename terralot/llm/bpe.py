@@ -13,12 +13,13 @@ import base64
 import hashlib
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import sliced
-from .tokens import ChunkEncoder, default_path
+from .tokens import ChunkEncoder, Encoded, default_path
 
 NONE = 1 << 62
 
@@ -105,12 +106,12 @@ def bpe_encoder(ranks: dict[bytes, int], pattern: str, entries: int = 400_000) -
     find = regex.compile(pattern).findall
     known: dict[str, bytes] = {}
 
-    def many(texts: list[str]) -> list[bytes]:
+    def many(texts: list[str]) -> Encoded:
         if len(known) > entries:
             known.clear()
-        out = []
+        parts, sizes = [], []
         for text in texts:
-            parts = []
+            n = 0
             for match in find(text):
                 ids = known.get(match)
                 if ids is None:
@@ -118,10 +119,11 @@ def bpe_encoder(ranks: dict[bytes, int], pattern: str, entries: int = 400_000) -
                     if len(match) <= 48:
                         known[match] = ids
                 parts.append(ids)
-            out.append(b"".join(parts))
-        return out
+                n += len(ids) // 4
+            sizes.append(n)
+        return np.frombuffer(b"".join(parts), np.uint32), np.array(sizes, np.int64)
 
-    return ChunkEncoder(many, entries=entries)
+    return ChunkEncoder(lambda chunks: many([" " + x for x in chunks.to_pylist()]), many, entries=entries)
 
 
 def encode_decode(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", vocabulary: str | None = None, pattern: str | None = None, with_ids: bool = False) -> DataFrame:
@@ -142,8 +144,9 @@ def encode_decode(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text"
         decimal = [str(i) for i in range(len(bytes_of))]
         for b in sliced(batches):
             n, digest, back, kept, raw = [], [], [], [], []
-            for data in encoder.encode(b.column(1).to_pylist()):
-                ids = array.array("I", data).tolist()
+            made, bounds = encoder.encode(b.column(1))
+            for start, end in zip(bounds.tolist(), bounds[1:].tolist()):
+                ids = made[start:end].tolist()
                 decoded = b"".join(map(bytes_of.__getitem__, ids))
                 n.append(len(ids))
                 digest.append(hashlib.sha256(" ".join(map(decimal.__getitem__, ids)).encode()).hexdigest())

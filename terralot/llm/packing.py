@@ -1,15 +1,18 @@
 """Mixture-controlled packing of documents into fixed windows.
 
 Method: deficit round-robin over source queues. Every source has a target share of the tokens
-(given weights, or its natural share). A round adds share x window tokens to each queue's deficit
-and serves the queue while its deficit pays for at least `min_piece` tokens, so each window gets
-the target mixture. Deficits run on over windows.
+(given weights, or its natural share). Each window adds share x window tokens to each queue's deficit
+and is filled from the queues in proportion to what they are owed, in whole tokens by largest
+remainder; what a queue got less or more is carried to the next window. A queue whose quota is below
+`min_piece` waits until it is owed so many, so documents of small sources aren't cut to single tokens.
+So a full window's distance from the mixture (total variation) is at most the share of such small
+sources and a token for each other source, as long as no queue has run out.
 
 Partitions (buckets of about `bucket_tokens` tokens) are cut by each source's own cumulative count of
 tokens divided by its share, so every bucket holds the target mixture and documents are cut where a
-bucket ends. A source's cuts are multiples of `min_piece`; what a cut leaves owed is carried on as the
-next bucket's deficit, unclipped. A source's tokens are counted in the order of the input's tasks and
-rows, by prefix sums over tasks, so cuts depend on how the input is dealt; which tokens are packed doesn't.
+bucket ends. What a cut leaves owed is carried on as the next bucket's deficit. A source's tokens are
+counted in the order of the input's tasks and rows, by prefix sums over tasks, so cuts depend on how
+the input is dealt; which tokens are packed doesn't.
 """
 
 from __future__ import annotations
@@ -18,16 +21,16 @@ import zlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import prefix_sum, sliced, staged
-from .tokens import default_path, library_encoder
+from .tokens import as_binary, default_path, library_encoder, with_end
 
-WINDOW = 1024
+WINDOW, MIN_PIECE, BUCKET_TOKENS = 1024, 16, 1 << 19
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, source string, padding long, ids binary"
 
 
@@ -37,20 +40,17 @@ def encoded(docs: DataFrame, tokenizer: str, end_id: int, doc_id: str, text: str
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = library_encoder(tokenizer)
-        end = np.array([end_id], "<u4").tobytes()
         part = TaskContext.get().partitionId()
         seen: dict[str, int] = {}
-        for b in sliced(batches):
-            ids = [x + end for x in encoder.encode(b.column(2).to_pylist())]
-            wide = [np.frombuffer(x, "<u4") for x in ids]
-            small = [x.astype("<u2").tobytes() if x.max() < 65536 else x.tobytes() for x in wide]
+        for b in sliced(batches, 1024):
+            ids, bounds = with_end(encoder.encode(b.column(2)), end_id)
+            sizes = np.diff(bounds)
             before = []
-            for k, x in zip(b.column(1).to_pylist(), wide):
+            for k, n in zip(b.column(1).to_pylist(), sizes.tolist()):
                 before.append(seen.get(k, 0))
-                seen[k] = before[-1] + len(x)
+                seen[k] = before[-1] + n
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), b.column(1), pa.array(small, pa.binary()), pa.array([len(x) for x in wide], pa.int64()), pa.array([part] * len(wide), pa.int64()), pa.array(before, pa.int64())],
-                ["doc_id", "source", "ids", "n", "part", "before"],
+                [b.column(0), b.column(1), as_binary(ids, bounds), pa.array(sizes), pa.array([part] * len(sizes), pa.int64()), pa.array(before, pa.int64())], ["doc_id", "source", "ids", "n", "part", "before"]
             )
 
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(source).cast("string"), F.lit("\x00")).alias("source"), F.col(text).alias("text"))
@@ -69,65 +69,76 @@ def windows_of(total: int, window: int) -> Iterator[int]:
         size >>= 1
 
 
-def served(queues: list[list[int]], shares: list[float], deficits: list[float], window: int, min_piece: int) -> Iterator[tuple[int, int, int, int]]:
-    """Deficit round-robin: (queue, place in it, start, length) in the order of service.
-
-    `queues` holds the token counts of each queue's documents. Shares of queues that have run
-    out go to the others in proportion; queues without a share count as equal when only they are left.
+def apportioned(total: int, wanted: np.ndarray, most: np.ndarray) -> np.ndarray:
+    """`total` tokens in proportion to `wanted`, whole, by largest remainder, none above `most`; less if `most` of those wanted is less."""
+    got = np.zeros(len(wanted), np.int64)
+    while total > 0:
+        w = np.where(got < most, wanted, 0.0)
+        if not w.any():
+            break
+        ideal = total * w / w.sum()
+        part = np.minimum(np.floor(ideal).astype(np.int64), most - got)
+        rest = int(total - part.sum())
+        if rest:
+            remainder = np.where((w > 0) & (part < most - got), ideal - part, -1.0)
+            best = np.argsort(-remainder, kind="stable")[:rest]
+            part[best[remainder[best] >= 0]] += 1
+        got += part
+        total -= int(part.sum())
+    return got
+
+
+def served(left: np.ndarray, shares: np.ndarray, deficits: np.ndarray, sizes: list[int], min_piece: int) -> np.ndarray:
+    """Deficit round-robin: the tokens that each window (row) takes from each queue (column).
+
+    `left` has the tokens in each queue, `sizes` the windows' lengths, which take all of them. Shares of queues that have
+    run out go to the others in proportion; queues without a share count as equal when only they are left.
     """
-    left = [sum(q) for q in queues]
-    at, start = [0] * len(queues), [0] * len(queues)
-    ring = [q for q in range(len(queues)) if left[q]]
-    while ring:
-        total = sum(shares[q] for q in ring)
-        alone = len(ring) == 1
-        still = []
-        for q in ring:
-            deficits[q] += window * (shares[q] / total if total > 0 else 1 / len(ring))
-            if alone:
-                deficits[q] = left[q]
-            while left[q] and deficits[q] >= min(min_piece, left[q]):
-                n = min(int(deficits[q]), queues[q][at[q]] - start[q])
-                yield q, at[q], start[q], n
-                deficits[q] -= n
-                left[q] -= n
-                start[q] += n
-                if start[q] == queues[q][at[q]]:
-                    at[q], start[q] = at[q] + 1, 0
-            if left[q]:
-                still.append(q)
-        ring = still
-
-
-def packed_bucket(rows: pd.DataFrame, bucket: int, window: int, min_piece: int, with_ids: bool) -> pd.DataFrame:
-    rows = rows.assign(crc=[zlib.crc32(x) for x in rows["ids"]]).sort_values(["source", "doc_id", "crc", "first"], kind="stable", na_position="first")
-    share = {k: (s, c) for k, s, c in zip(rows["source"], rows["share"], rows["carry"])}
-    names = list(dict.fromkeys(rows["source"]))
-    place = {k: i for i, k in enumerate(names)}
-    queues: list[list[int]] = [[] for _ in names]
-    docs: list[list[tuple]] = [[] for _ in names]
-    for doc_id, source, ids, n, first, whole in zip(rows["doc_id"], rows["source"], rows["ids"], rows["n"], rows["first"], rows["whole"]):
-        q = place[source]
-        queues[q].append(n)
-        docs[q].append((doc_id, first, whole, np.frombuffer(ids, "<u2" if len(ids) == 2 * n else "<u4").astype("<u4").tobytes()))
-    out = []
-    lengths = windows_of(int(rows["n"].sum()), window)
-    room = size = next(lengths, 0)
-    number = 0
-    shares, deficits = [share[k][0] for k in names], [share[k][1] for k in names]
-    if not any(shares):
-        shares = [float(sum(q)) for q in queues]
-    for q, i, start, n in served(queues, shares, deficits, window, min_piece):
-        doc_id, first, whole, ids = docs[q][i]
-        while n:
-            cut = min(n, room)
-            piece = ids[4 * start : 4 * (start + cut)]
-            out.append((doc_id, first + start, cut, zlib.crc32(piece), whole, (bucket << 32) + number, size - room, names[q], 0, piece if with_ids else None))
-            start, n, room = start + cut, n - cut, room - cut
-            if not room:
-                room = size = next(lengths, 0)
-                number += 1
-    return pd.DataFrame(out, columns=[x.split()[0] for x in PIECES.split(", ")])
+    out = np.zeros((len(sizes), len(left)), np.int64)
+    left, deficits = left.astype(np.int64), deficits.astype(np.float64)
+    for i, size in enumerate(sizes):
+        share = np.where(left > 0, shares, 0.0)
+        if not share.any():
+            share = (left > 0).astype(np.float64)
+        deficits = np.where(left > 0, deficits + size * share / share.sum(), 0.0)
+        owed = np.where(deficits >= np.minimum(min_piece, left), np.maximum(deficits, 0), 0)
+        got = apportioned(size, owed, left)
+        for others in (share, np.ones(len(left))):  # those not yet owed a piece, and those without a share, fill what is left of the window
+            got += apportioned(size - int(got.sum()), others, left - got)
+        out[i] = got
+        left, deficits = left - got, deficits - got
+    return out
+
+
+def packed_bucket(rows: pa.Table, window: int, min_piece: int, with_ids: bool) -> pa.Table:
+    """The pieces of one bucket. Its tokens lie in the order of sources and, in each, of documents; pieces end where a document ends or a window's part of a source."""
+    rows = rows.append_column("crc", pa.array([zlib.crc32(x) for x in rows["ids"].to_pylist()], pa.int64()))
+    rows = rows.take(pc.sort_indices(rows, [(k, "ascending") for k in ("source", "doc_id", "crc", "first")], null_placement="at_start")).combine_chunks()
+    n, first = rows["n"].to_numpy(), rows["first"].to_numpy()
+    flat = np.concatenate([np.frombuffer(x, "<u2" if len(x) == 2 * k else "<u4") for x, k in zip(rows["ids"].to_pylist(), n.tolist())]).astype("<u4")
+    names = rows["source"].combine_chunks().dictionary_encode()
+    source = names.indices.to_numpy()
+    begin = np.flatnonzero(np.diff(source, prepend=-1))
+    shares = rows["share"].to_numpy()[begin]
+    queues = np.add.reduceat(n, begin)
+    sizes = list(windows_of(int(n.sum()), window))
+    parts = served(queues, shares if shares.any() else queues.astype(np.float64), rows["carry"].to_numpy()[begin], sizes, min_piece)
+    cells = parts.T.reshape(-1)
+    doc_ends, cell_ends = np.cumsum(n), np.cumsum(cells)
+    end = np.union1d(doc_ends, cell_ends[cells > 0])
+    start = np.concatenate([[0], end[:-1]])
+    doc, cell = np.searchsorted(doc_ends, start, side="right"), np.searchsorted(cell_ends, start, side="right")
+    queue, number = cell // len(sizes), cell % len(sizes)
+    offset = (np.cumsum(parts, axis=1) - parts)[number, queue] + start - (cell_ends - cells)[cell]
+    data = memoryview(flat.view(np.uint8))
+    pieces = [data[4 * a : 4 * z] for a, z in zip(start.tolist(), end.tolist())]
+    bucket = rows["bucket"][0].as_py()
+    at = pa.array(doc)
+    columns = [
+        rows["doc_id"].take(at), pa.array(first[doc] + start - (doc_ends - n)[doc]), pa.array(end - start), pa.array(list(map(zlib.crc32, pieces)), pa.int64()), rows["whole"].take(at),
+        pa.array((bucket << 32) + number), pa.array(offset), rows["source"].take(at), pa.array(np.zeros(len(doc), np.int64)), pa.array(map(bytes, pieces) if with_ids else [None] * len(doc), pa.binary()),
+    ]
+    return pa.table(columns, names=[x.split()[0] for x in PIECES.split(", ")])
 
 
 def legs(totals: list[tuple[int, float]]) -> list[tuple[float, float, float]]:
@@ -155,14 +166,14 @@ def along(x: Column, stretches: list[tuple[float, float, float]], back: bool) ->
     return out
 
 
-def dealt(rows: DataFrame, stretches: list[tuple[float, float, float]], buckets: int, bucket_tokens: int, unit: int) -> DataFrame:
+def dealt(rows: DataFrame, stretches: list[tuple[float, float, float]], buckets: int, bucket_tokens: int) -> DataFrame:
     """Parts of documents by bucket. rows have `at`, the tokens of their source before them, and of the
     source all (its tokens), rate (tokens in a unit of time) and since (when it begins)."""
     ideal = lambda k: F.col("rate") * (along(k * F.lit(float(bucket_tokens)), stretches, True) - F.col("since"))
 
     def cut(k: Column) -> Column:
         """The tokens of the source before bucket k."""
-        inside = F.least(F.greatest(F.floor(ideal(k) / F.lit(unit)) * F.lit(unit), F.lit(0)), F.col("all"))
+        inside = F.least(F.greatest(F.floor(ideal(k)), F.lit(0)), F.col("all"))
         return F.when(k <= 0, F.lit(0)).when(k >= F.lit(buckets), F.col("all")).otherwise(inside).cast("long")
 
     def about(c: Column) -> Column:
@@ -170,8 +181,8 @@ def dealt(rows: DataFrame, stretches: list[tuple[float, float, float]], buckets:
         return F.least(F.greatest(k, F.lit(0)), F.lit(buckets - 1)).cast("long")
 
     end = F.col("at") + F.col("n")
-    # a token lies in the bucket its ideal place is in or, as cuts are multiples of the unit, in a later one
-    rows = rows.withColumn("k0", about(F.col("at"))).withColumn("k1", about(end + F.lit(unit)))
+    # a token lies in the bucket its ideal place is in or, as cuts are whole tokens, in a neighbour
+    rows = rows.withColumn("k0", about(F.col("at"))).withColumn("k1", about(end + 1))
     rows = rows.withColumn("k0", F.when(cut(F.col("k0")) > F.col("at"), F.greatest(F.col("k0") - 1, F.lit(0))).otherwise(F.col("k0")))
     width = F.floor(F.length("ids") / F.col("n")).cast("int")
 
@@ -188,7 +199,7 @@ def dealt(rows: DataFrame, stretches: list[tuple[float, float, float]], buckets:
 
 def pack(
     docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", source: str = "source", weights: dict[str, float] | None = None, tokenizer: str | None = None, end_id: int = 0,
-    window: int = WINDOW, min_piece: int = 64, bucket_tokens: int = 131_072, with_ids: bool = False,
+    window: int = WINDOW, min_piece: int = MIN_PIECE, bucket_tokens: int = BUCKET_TOKENS, with_ids: bool = False,
 ) -> DataFrame:
     """One row per piece: where which tokens of a document went (with_ids: the tokens too).
 
@@ -196,8 +207,9 @@ def pack(
     Every token lies in exactly one piece. Sequences are full windows; the tokens left at the end
     of a bucket go to sequences of decreasing powers of two, so nothing is padded.
     A null or empty text has only its end id. A null source is a queue of its own. Null and
-    repeated ids and repeated rows are packed row by row. No rows give no pieces; other columns
-    are ignored.
+    repeated ids and repeated rows are packed row by row. A long text is cut wherever a window's part
+    of its source ends. Ties between sources go in the order of their names. No rows give no pieces;
+    other columns are ignored.
     """
     spark = docs.sparkSession
     tokenizer = tokenizer or default_path("byte_bpe_50k.json")
@@ -221,9 +233,9 @@ def pack(
     parts = staged(ahead.join(of_source, "source"), "pack-parts")  # of known size: broadcast if small
     placed = rows.join(parts, ["source", "part"]).withColumn("at", F.col("ahead") + F.col("before"))
 
-    def run(key: tuple, left: pd.DataFrame) -> pd.DataFrame:
-        return packed_bucket(left, int(key[0]), window, min_piece, with_ids)
+    def run(rows: pa.Table) -> pa.Table:
+        return packed_bucket(rows, window, min_piece, with_ids)
 
-    pieces = dealt(placed, stretches, buckets, bucket_tokens, max(1, min_piece)).groupBy("bucket").applyInPandas(run, PIECES)
+    pieces = dealt(placed, stretches, buckets, bucket_tokens).groupBy("bucket").applyInArrow(run, PIECES)
     pieces = pieces.withColumn("source", F.nullif("source", F.lit("\x00")))
     return pieces if with_ids else pieces.drop("ids")

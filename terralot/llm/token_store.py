@@ -27,16 +27,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import new_folder, open_read, open_write, prefix_sum, sliced, staged
-from .tokens import default_path, library_encoder
+from .tokens import default_path, library_encoder, with_end
 
 MAGIC, BITS, BLOCK = b"TLDAC001", 8, 512
-NULL_ID = -(1 << 63)
 READ_TOKENS = 250_000
 MANIFEST = "partition int, number int, uri string, n_docs long, n_tokens long"
 
 
-def dac_bytes(ids: np.ndarray, doc_ids: np.ndarray, first: np.ndarray) -> bytes:
-    """A whole file. `first` has the first token of each document and, at its end, the count of tokens."""
+def dac_bytes(ids: np.ndarray, doc_ids: np.ndarray, first: np.ndarray, n_null: int = 0) -> bytes:
+    """A whole file. `first` has the first token of each document and, at its end, the count of tokens;
+    the first `n_null` documents have no id."""
     arrays: list[tuple[str, bytes]] = [("doc_ids", doc_ids.astype("<i8").tobytes()), ("first", first.astype("<u8").tobytes())]
     now, levels = ids.astype("<u4"), 0
     while levels == 0 or len(now):
@@ -52,7 +52,7 @@ def dac_bytes(ids: np.ndarray, doc_ids: np.ndarray, first: np.ndarray) -> bytes:
     for name, data in arrays:
         places[name] = [at, len(data)]
         at += len(data)
-    head = json.dumps({"n_docs": len(doc_ids), "n_tokens": len(ids), "levels": levels, "arrays": places}).encode()
+    head = json.dumps({"n_docs": len(doc_ids), "n_null": n_null, "n_tokens": len(ids), "levels": levels, "arrays": places}).encode()
     return b"".join([MAGIC, struct.pack("<Q", len(head)), head, *(x for _, x in arrays)])
 
 
@@ -116,9 +116,11 @@ def write_tokens(
 ) -> DataFrame:
     """Encode, sort and write all documents; the manifest of files, with `start`: tokens in the files before.
 
-    Texts are dealt by ranges of doc_id and sorted in each range, so files follow each other in
-    ascending doc_id. Null or empty text: only the end id. Null ids come first and are stored as the
-    least 64-bit integer; rows with one id go by their text. No rows: an empty manifest.
+    Texts are dealt by ranges of (doc_id, hash of the text) and sorted in each range, so files follow each
+    other in ascending doc_id and rows of one id, or without id, may go to several tasks. Null or empty text:
+    only the end id. Null ids come first; a file's header counts them. Rows of one id go by a hash of their
+    text, repeated rows side by side. A text of any length is encoded whole. No rows: an empty manifest; other
+    columns are ignored.
     """
     spark = docs.sparkSession
     tokenizer = tokenizer or default_path("byte_bpe_50k.json")
@@ -126,35 +128,32 @@ def write_tokens(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = library_encoder(tokenizer)
-        end = np.array([end_id], "<u4").tobytes()
-        part, number = TaskContext.get().partitionId(), 0
-        held: list[bytes] = []
-        names: list[int] = []
-        size = 0
+        part, number, size = TaskContext.get().partitionId(), 0, 0
+        held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        nulls = 0
 
         def flush() -> pa.RecordBatch:
-            lengths = np.array([len(x) // 4 for x in held], np.int64)
-            first = np.concatenate([[0], np.cumsum(lengths)])
+            names, first = np.concatenate([x[0] for x in held]), np.concatenate([[0], np.cumsum(np.concatenate([x[2] for x in held]))])
             uri = f"{folder}/{part:06d}-{number:04d}-{uuid.uuid4().hex[:8]}.dac"
             with open_write(uri) as f:
-                f.write(dac_bytes(np.frombuffer(b"".join(held), "<u4"), np.array(names, np.int64), first))
+                f.write(dac_bytes(np.concatenate([x[1] for x in held]), names, first, nulls))
             row = {"partition": [part], "number": [number], "uri": [uri], "n_docs": [len(names)], "n_tokens": [int(first[-1])]}
             return pa.RecordBatch.from_arrays([pa.array(row["partition"], pa.int32()), pa.array(row["number"], pa.int32()), pa.array(row["uri"]), pa.array(row["n_docs"], pa.int64()), pa.array(row["n_tokens"], pa.int64())], list(row))
 
-        for b in sliced(batches):
-            made = encoder.encode(b.column(1).to_pylist())
-            for name, ids in zip(b.column(0).to_pylist(), made):
-                names.append(NULL_ID if name is None else name)
-                held.append(ids + end)
-                size += len(ids) // 4 + 1
+        for b in sliced(batches, 1024):
+            ids, bounds = with_end(encoder.encode(b.column(1)), end_id)
+            held.append((b.column(0).fill_null(0).to_numpy(), ids, np.diff(bounds)))
+            nulls += b.column(0).null_count
+            size += len(ids)
             if size >= file_tokens:
                 yield flush()
-                held, names, size, number = [], [], 0, number + 1
-        if names:
+                held, nulls, size, number = [], 0, 0, number + 1
+        if held:
             yield flush()
 
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    rows = rows.repartitionByRange(F.col("doc_id").asc_nulls_first()).sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "text")
+    place = [F.col("doc_id").asc_nulls_first(), F.xxhash64("text")]
+    rows = rows.repartitionByRange(*place).sortWithinPartitions(*place, "text")
     files = staged(rows.mapInArrow(run, MANIFEST), "token-manifest")
     files = files.withColumn("place", F.col("partition").cast("long") * 65536 + F.col("number"))
     return prefix_sum(files, [], "place", "n_tokens", "start", block=65536 * 64)
@@ -169,15 +168,15 @@ def read_tokens(manifest: DataFrame, with_ids: bool = False) -> DataFrame:
             for uri, start in zip(b["uri"], b["start"]):
                 f = DacFile(uri)
                 names, first = f.documents()
-                i = 0
+                i, nulls = 0, f.head["n_null"]
                 while i < len(names):  # documents of about READ_TOKENS tokens at a time, one at least
                     end = max(i + 1, int(np.searchsorted(first, first[i] + READ_TOKENS, side="right")) - 1)
-                    own, places, i = names[i:end], first[i : end + 1], end
+                    own, places, none, i = names[i:end], first[i : end + 1], max(0, min(end, nulls) - i), end
                     ids = f.tokens(int(places[0]), int(places[-1]))
                     pieces = [ids[a - places[0] : z - places[0]] for a, z in zip(places, places[1:])]
                     out = {"doc_id": pd.array(own, "Int64"), "start": start + places[:-1], "n_tokens": np.diff(places), "ids_crc32": [zlib.crc32(x.tobytes()) for x in pieces]}
                     out = pd.DataFrame(out | ({"ids": [x.astype(np.int64) for x in pieces]} if with_ids else {}))
-                    out.loc[own == NULL_ID, "doc_id"] = pd.NA
+                    out.iloc[:none, 0] = pd.NA
                     yield out
                 f.close()
 
