@@ -11,24 +11,27 @@ from collections.abc import Iterator
 from urllib.parse import urlparse
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 _made: dict[str, str] = {}
+#: Spark's setting to delete a query's shuffle files when it ends; nothing reads those of a staged table's query again.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def shared_root(spark: SparkSession) -> str:
     """A folder of this session below spark.checkpoint.dir, which every executor can reach.
 
-    Only where the cluster names none (single-machine tests) a temporary folder is set instead.
+    Only where the cluster names none and all runs on one machine (tests) a temporary folder is set instead.
     """
     app = spark.sparkContext.applicationId
     if app not in _made:
         base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
         if not base:
+            if not spark.sparkContext.master.startswith("local["):
+                raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
             base = "file://" + tempfile.mkdtemp(prefix="terralot-")
             spark.sparkContext.setCheckpointDir(base)
         elif not urlparse(base).scheme:
@@ -57,8 +60,21 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     folder = new_folder(spark, name)
     schema = df.schema
-    df.write.option("compression", "zstd").parquet(folder)
-    return spark.read.schema(schema).parquet(folder)
+    before = spark.conf.get(CLEANUP, "false")
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(folder)
+    finally:
+        spark.conf.set(CLEANUP, before)
+    out = spark.read.schema(schema).parquet(folder)
+    out._staged_at = folder
+    return out
+
+
+def release(*tables: DataFrame) -> None:
+    """Delete staged tables that nothing reads any more."""
+    for t in tables:
+        _remove(t.sparkSession, t._staged_at)
 
 
 def open_write(uri: str):
@@ -117,21 +133,33 @@ def in_training(doc_id: str):
     return F.crc32(F.col(doc_id).cast("string").cast("binary")) % 4 != 2
 
 
-def count_blocks(counts, size: int) -> tuple[list[int], list[bytes]]:
+def count_blocks(counts: np.ndarray, size: int) -> tuple[list[int], list[bytes]]:
     """The blocks of a count table that hold any: their numbers, and their packed bytes."""
     blocks = counts.reshape(-1, size)
     used = [int(i) for i in blocks.any(axis=1).nonzero()[0]]
-    return used, [zlib.compress(blocks[i].tobytes(), 1) for i in used]
+    return used, [zlib.compress(blocks[i].astype(np.int64).tobytes(), 1) for i in used]
 
 
-def sum_blocks(rows: DataFrame, total: int, size: int):
-    """The tasks' tables (block, counts) summed: `total` counts, a fixed size whatever the input's."""
+def sum_blocks(rows: DataFrame, total: int, size: int, fan_in: int = 256) -> np.ndarray:
+    """The tasks' tables (block, counts) summed: `total` counts, a fixed size whatever the input's. First
+    `fan_in` sums a block, then these, so no task holds the tables of all tasks; each adds one table at a time."""
 
-    def run(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
-        summed = sum(np.frombuffer(zlib.decompress(x), np.int64) for x in part["counts"])
-        return pd.DataFrame({"block": [key[0]], "counts": [summed.tobytes()]})
+    def run(key: tuple[pa.Scalar, ...], parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        summed = np.zeros(size, np.int64)
+        for b in parts:
+            for x in b.column("counts"):
+                summed += np.frombuffer(zlib.decompress(x.as_py()), np.int64)
+        yield pa.RecordBatch.from_arrays([pa.array([key[0].as_py()], pa.int32()), pa.array([zlib.compress(summed.tobytes(), 1)], pa.binary())], ["block", "counts"])
 
+    schema = "block int, counts binary"
+    some = rows.select("block", "counts", F.spark_partition_id().alias("task")).withColumn("deal", F.col("task") % fan_in)
+    some = some.select("block", "counts", "deal").groupBy("block", "deal").applyInArrow(run, schema)
     out = np.zeros((total // size, size), np.int64)
-    for r in rows.select("block", "counts").groupBy("block").applyInPandas(run, "block int, counts binary").collect():
-        out[r["block"]] = np.frombuffer(r["counts"], np.int64)
+    for r in some.groupBy("block").applyInArrow(run, schema).collect():
+        out[r["block"]] = np.frombuffer(zlib.decompress(r["counts"]), np.int64)
     return out.reshape(-1)
+
+
+def estimated_bytes(df: DataFrame) -> int:
+    """The size of a plan's result as Spark estimates it, for the size of a table of counts."""
+    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())

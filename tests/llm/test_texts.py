@@ -186,13 +186,56 @@ def test_long_disguises(reader):
     assert reader.words("ab" * 100_000 + "c") and reader.words("a1b" * 30_000)  # in linear time
 
 
-@pytest.mark.parametrize("n,percent", [(3, 90), (5, 80)])
-@pytest.mark.parametrize("all_links", [True, False])
-def test_jaccard_against_brute_force(spark, edge, none, monkeypatch, n, percent, all_links):
-    """Clouds of near copies, exact copies, shared passages; blocks small enough to be split."""
-    monkeypatch.setattr(jaccard, "BLOCK_GROUPS", 20)
-    if n == 3:
-        monkeypatch.setattr(jaccard, "ONE_TASK", 0)
+def similar(rows, n, percent):
+    """By brute force, of rows (id, text): each row's set, links to other sets, group of linked sets, and component of its id."""
+    made = []
+    for _, text in rows:
+        w = (text or "").encode().lower().split()
+        made.append(frozenset({tuple(w[k : k + n]) for k in range(len(w) - n + 1)} if len(w) >= n else {tuple(w)} if w else set()))
+    root = {}
+
+    def top(a):
+        root.setdefault(a, a)
+        while root[a] != a:
+            a = root[a]
+        return a
+
+    known = list({s for (i, _), s in zip(rows, made) if s and i is not None})
+    links = collections.Counter()
+    for a, b in itertools.combinations(known, 2):
+        both = len(a & b)
+        if both and 100 * both >= percent * len(a | b):
+            links.update((a, b))
+            root[top(a)] = top(b)
+    group = {s: top(s) for s in known}
+    for (i, _), s in zip(rows, made):
+        if i is not None and s:
+            root[top(s)] = top(i)
+    ids = collections.defaultdict(list)
+    for i in {i for i, _ in rows if i is not None}:
+        ids[top(i)].append(i)
+    return made, links, group, {i: min(v) for v in ids.values() for i in v}
+
+
+def as_expected(got, rows, n, percent):
+    made, links, group, component = similar(rows, n, percent)
+    assert len(got) == len(rows)
+    want = collections.Counter((i, len(s), None if i is None else component[i], 0 if i is None else links[s]) for (i, _), s in zip(rows, made))
+    assert collections.Counter((g["doc_id"], g["n_shingles"], g["component_id"], g["n_links"]) for g in got) == want
+    by_group = collections.defaultdict(collections.Counter)
+    for g in got:
+        if g["group_id"] is not None:
+            by_group[g["group_id"]][g["doc_id"]] += 1
+    expected = collections.defaultdict(collections.Counter)
+    for (i, _), s in zip(rows, made):
+        if i is not None and s:
+            expected[group[s]][i] += 1
+    key = lambda groups: collections.Counter(frozenset(c.items()) for c in groups.values())
+    assert key(by_group) == key(expected)
+
+
+def clouds():
+    """Clouds of near copies, exact copies, shared passages, rows of one id with other texts."""
     r = random.Random(5)
     base = [[f"w{r.randrange(4000)}" for _ in range(120)] for _ in range(3)]
     rows = []
@@ -201,29 +244,43 @@ def test_jaccard_against_brute_force(spark, edge, none, monkeypatch, n, percent,
         for _ in range(r.randrange(7)):
             w[r.randrange(len(w))] = f"x{r.randrange(200)}"
         rows.append((i * 3 + 1, " ".join(w[: r.randrange(1, 120)] if r.random() < 0.1 else w)))
-    rows += [(9000 + i, rows[i % 7][1]) for i in range(30)] + [(9503, "One two"), (9504, "one  TWO"), (9505, "one"), (9506, "É"), (9507, "é")] + [(None if i is None else 20_000 + i, t) for i, t, _ in ROWS]
-    sets = {}
-    for i, t in rows:
-        w = (t or "").encode().lower().split()
-        sets[i] = {tuple(w[k : k + n]) for k in range(len(w) - n + 1)} if len(w) >= n else {tuple(w)} if w else set()
-    ids = sorted(i for i in sets if i is not None)
-    root = {i: i for i in ids}
+    rows += [(9000 + i, rows[i % 7][1]) for i in range(30)] + [(9503, "One two"), (9504, "one  TWO"), (9505, "one"), (9506, "É"), (9507, "é")]
+    rows += [(4, " ".join(base[1])), (9503, rows[5][1]), (9505, None), (9505, rows[8][1] + " z"), (9600, ""), (9600, rows[30][1])]
+    return rows + [(None if i is None else 20_000 + i, t) for i, t, _ in ROWS]
 
-    def top(a):
-        while root[a] != a:
-            a = root[a]
-        return a
 
-    for a, b in itertools.combinations(ids, 2):
-        both = len(sets[a] & sets[b])
-        if both and 100 * both >= percent * len(sets[a] | sets[b]):
-            x, y = top(a), top(b)
-            root[max(x, y)] = min(x, y)
-    got = jaccard.jaccard_join(spark.createDataFrame(rows, "doc_id long, text string").repartition(5), n=n, percent=percent, all_links=all_links).collect()
-    assert len(got) == len(rows)
-    for g in got:
-        assert g["n_shingles"] == len(sets[g["doc_id"]])
-        assert g["component_id"] == (None if g["doc_id"] is None else top(g["doc_id"]))
+@pytest.mark.parametrize("n,percent", [(3, 90), (5, 80)])
+@pytest.mark.parametrize("small", [True, False])
+def test_jaccard_against_brute_force(spark, monkeypatch, n, percent, small):
+    """Blocks small enough to be split, and as they are."""
+    if small:
+        monkeypatch.setattr(jaccard, "BLOCK_GROUPS", 20)
+        monkeypatch.setattr(jaccard, "BLOCK_CLASSES", 7)
+        monkeypatch.setattr(jaccard, "UNION_LINKS", 10)
+    rows = clouds()
+    as_expected(jaccard.jaccard_join(spark.createDataFrame(rows, "doc_id long, text string").repartition(5), n=n, percent=percent).collect(), rows, n, percent)
+
+
+@pytest.mark.parametrize("size", [3, 256])
+def test_jaccard_groups_of_one_prefix(spark, monkeypatch, size):
+    """Sets of one size and prefix that differ in their most frequent shingles only: they are expanded to their members."""
+    monkeypatch.setattr(jaccard, "BLOCK_CLASSES", size)
+    common = [f"c{i}" for i in range(14)]
+    rows = [(1000 + i, f"f{i} " + c) for i, c in enumerate(common * 30)]  # makes them frequent
+    for f in range(4):
+        rare = [f"r{f // 2}x{k}" for k in range(40)]
+        rows += [(10 * f + k, " ".join(rare + random.Random(k + 50 * f).sample(common, 6 + f % 2))) for k in range(9)]
+    as_expected(jaccard.jaccard_join(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), n=1, percent=88).collect(), rows, 1, 88)
+
+
+def test_jaccard_rows_of_one_id(spark):
+    """A row's links are its text's, whatever other texts its id has."""
+    a = " ".join(f"a{i}" for i in range(100))
+    b = " ".join(f"b{i}" for i in range(100))
+    rows = [(7, a), (7, b), (8, a + " z"), (9, b + " z"), (10, a + " y")]
+    got = jaccard.jaccard_join(spark.createDataFrame(rows, "doc_id long, text string"), n=3, percent=90).collect()
+    as_expected(got, rows, 3, 90)
+    assert {g["component_id"] for g in got} == {7} and len({g["group_id"] for g in got}) == 2
 
 
 def test_jaccard_edges(edge, none):
