@@ -33,13 +33,15 @@ from pyspark.sql import functions as F
 from .common import count_blocks, estimated_bytes, release, sliced, staged, sum_blocks
 
 #: The slot table has a slot for every two bytes of the input as Spark estimates it, within these powers of two.
-LEAST_BITS, MOST_BITS, SLOT_BLOCK = 14, 23, 4096
+LEAST_BITS, MOST_BITS, SLOT_BLOCK = 14, 22, 4096
 SKETCH_WORDS = 8
-BLOCK_GROUPS = 512
+BLOCK_GROUPS = 256
 #: Classes that meet in a block: BLOCK_CLASSES, but no more than FEW_BLOCKS blocks up to MOST_CLASSES each, and BLOCK_BYTES of sets.
 BLOCK_CLASSES, FEW_BLOCKS, MOST_CLASSES, BLOCK_BYTES = 256, 32, 1024, 16 << 20
 LEAST_SIDE, SQUARE_BYTES = 8, 6 << 20
 UNION_LINKS = 1_000_000
+#: Shingles that a task counts at a time.
+COUNTED = 2_000_000
 P1, P2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
 
@@ -98,18 +100,23 @@ def shapes(docs: DataFrame, n: int, bits: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingles = Shingles(n)
-        counts = np.zeros(1 << bits, np.uint32)
+        counts, held, size = np.zeros(1 << bits, np.int64), [], 0
         names = ["doc_id", "text_hash", "n", "h1", "h2", "block", "counts"]
         for b in sliced(batches):
             sets = [shingles.of(t) for t in b.column(2).to_pylist()]
-            for s in sets:
-                np.add.at(counts, (s >> np.uint64(64 - bits)).astype(np.int64), 1)
+            held.append((np.concatenate(sets) >> np.uint64(64 - bits)).astype(np.int32))
+            size += len(held[-1])
+            if size >= COUNTED:
+                counts += np.bincount(np.concatenate(held), minlength=1 << bits)
+                held, size = [], 0
             keys = [set_key(s) for s in sets]
             none = pa.nulls(len(sets), pa.int32())
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), b.column(1), pa.array([len(s) for s in sets], pa.int64()), pa.array([k[0] for k in keys], pa.int64()), pa.array([k[1] for k in keys], pa.int64()), none, pa.nulls(len(sets), pa.binary())],
                 names,
             )
+        if held:
+            counts += np.bincount(np.concatenate(held), minlength=1 << bits)
         used, packed = count_blocks(counts, SLOT_BLOCK)
         none = pa.nulls(len(used), pa.int64())
         yield pa.RecordBatch.from_arrays([none, none, none, none, none, pa.array(used, pa.int32()), pa.array(packed, pa.binary())], names)
@@ -449,7 +456,7 @@ def jaccard_join(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text",
     bits = min(MOST_BITS, max(LEAST_BITS, estimated_bytes(rows).bit_length() - 1))
     shape = staged(shapes(rows, n, bits), "shapes")
     often = np.minimum(sum_blocks(shape.filter("block IS NOT NULL"), 1 << bits, SLOT_BLOCK), 2**31 - 1).astype(np.int32)
-    counts = spark.sparkContext.broadcast(often)  # 4 bytes a slot, 32 MB at most
+    counts = spark.sparkContext.broadcast(often)  # 4 bytes a slot, 16 MB at most
     shape = shape.filter("block IS NULL").select("doc_id", "text_hash", "n", "h1", "h2")
     found = prefixes(rows.filter("doc_id IS NOT NULL"), n, percent, bits, counts)
     classes = found.groupBy("h1", "h2", "n").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies"), *[F.first(c).alias(c) for c in ("prefix", "p1", "p2", "sketch")])
