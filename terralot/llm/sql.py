@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
-from .url_graph import BLOCK_FROM, DAMPING, LINK, ROUNDS, RULES
+from .url_graph import ABOVE, BLOCK_FROM, DAMPING, LINK, NO_HOST, OTHER_HOST, RULES
 from .zip_warc import LEAST
 
+#: Rounds of the walk in SQL, which cannot stop by itself: enough for chains of hosts up to this length, and for any graph to 0.85^40.
+SQL_ROUNDS = 40
+
 OP3 = """
 WITH v AS (
   SELECT DISTINCT vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS e
@@ -78,45 +81,54 @@ def _op9() -> str:
         whens.append(f"WHEN {fits} THEN '{rule}'")
         verdicts.append(f"WHEN {fits} THEN '{what}'")
     link = LINK.replace("'", "''")
+    mass = lambda x, net: f"({1 - DAMPING!r} * k.{x}0 + {DAMPING!r} * coalesce(g.{x}, 0)) / k.{net} AS {x}, coalesce(g.{x}, 0) AS g{x}"
+    every = ", ".join(mass(x, net) for x, net in (("t", "net_out"), ("v", "net_out"), ("d", "net_in"), ("u", "net_in")))
     steps = "".join(
         f"""
-), t{i + 1} AS (
-  SELECT k.host, {1 - DAMPING!r} * k.t0 + {DAMPING!r} * coalesce(x.t, 0) AS t, {1 - DAMPING!r} * k.d0 + {DAMPING!r} * coalesce(x.d, 0) AS d
+), r{i + 1} AS MATERIALIZED (
+  SELECT k.host, {every}
   FROM k LEFT JOIN (
-    SELECT host, sum(t) AS t, sum(d) AS d FROM (
-      SELECT e.dst AS host, r.t * e.n / o.n AS t, 0.0 AS d FROM e JOIN t{i} r ON e.src = r.host JOIN o ON o.host = e.src
-      UNION ALL SELECT e.src, 0.0, r.d * e.n / f.n FROM e JOIN t{i} r ON e.dst = r.host JOIN f ON f.host = e.dst
-      UNION ALL SELECT r.host, CASE WHEN o.n IS NULL THEN r.t ELSE 0 END, CASE WHEN f.n IS NULL THEN r.d ELSE 0 END
-        FROM t{i} r LEFT JOIN o ON o.host = r.host LEFT JOIN f ON f.host = r.host
+    SELECT host, sum(t) AS t, sum(v) AS v, sum(d) AS d, sum(u) AS u FROM (
+      SELECT e.dst AS host, r.t * e.n / k.all_out AS t, r.v * e.n / k.all_out AS v, 0.0 AS d, 0.0 AS u FROM e JOIN r{i} r ON e.src = r.host JOIN k ON k.host = e.src
+      UNION ALL SELECT e.src, 0.0, 0.0, r.d * e.n / k.all_in, r.u * e.n / k.all_in FROM e JOIN r{i} r ON e.dst = r.host JOIN k ON k.host = e.dst
     ) GROUP BY host
-  ) x USING (host)"""
-        for i in range(ROUNDS)
+  ) g USING (host)"""
+        for i in range(SQL_ROUNDS)
     )
     return rf"""
 WITH p AS (
   SELECT page_id, html, coalesce({lower.format("regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1)")}, '') AS host,
     coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '') AS path
   FROM pages
-), j AS (
+), j AS MATERIALIZED (
   SELECT *, CASE {" ".join(whens)} END AS rule, CASE {" ".join(verdicts)} END AS ruled FROM p
-), u AS (
+), l AS (
   SELECT host AS src, unnest(regexp_extract_all(html, '{link}', 1)) AS url FROM p WHERE host <> ''
-), e AS (
-  SELECT src, dst, count(*) AS n
-  FROM (SELECT src, {lower.format("regexp_extract(CASE WHEN starts_with(url, '//') THEN 'http:' || url ELSE url END, '(?s)^.*?://([^/?#]*)', 1)")} AS dst FROM u)
-  WHERE dst <> '' AND dst <> src GROUP BY src, dst
-), o AS (SELECT src AS host, sum(n) AS n FROM e GROUP BY src
-), f AS (SELECT dst AS host, sum(n) AS n FROM e GROUP BY dst
+), a AS MATERIALIZED (
+  SELECT src, dst, count(*) AS n FROM (
+    SELECT src, CASE WHEN regexp_matches(url, '{OTHER_HOST}')
+      THEN {lower.format("regexp_extract(CASE WHEN starts_with(url, '//') THEN 'http:' || url ELSE url END, '(?s)^.*?://([^/?#]*)', 1)")} ELSE src END AS dst
+    FROM l WHERE regexp_matches(url, '{OTHER_HOST}') OR NOT regexp_matches(url, '{NO_HOST}')
+    UNION ALL SELECT host, regexp_extract(host, '{ABOVE}', 1) FROM p WHERE host <> ''
+  ) WHERE dst <> '' GROUP BY src, dst
+), e AS MATERIALIZED (SELECT * FROM a WHERE src <> dst
+), o AS (SELECT src AS host, sum(n) AS n, sum(n) FILTER (WHERE src = dst) AS own FROM a GROUP BY src
+), f AS (SELECT dst AS host, sum(n) AS n, sum(n) FILTER (WHERE src = dst) AS own FROM a GROUP BY dst
 ), s AS (
   SELECT host, count(*) FILTER (WHERE ruled = 'allow') / count(*) AS t, count(*) FILTER (WHERE ruled = 'block') / count(*) AS d
   FROM j WHERE host <> '' GROUP BY host
-), k AS (
-  SELECT host, coalesce(s.t, 0) AS t0, coalesce(s.d, 0) AS d0
-  FROM (SELECT host FROM s UNION SELECT src FROM e UNION SELECT dst FROM e) LEFT JOIN s USING (host)
-), t0 AS (SELECT host, t0 AS t, d0 AS d FROM k{steps}
+), k AS MATERIALIZED (
+  SELECT host, coalesce(s.t, 0) AS t0, coalesce(s.d, 0) AS d0, 1.0::DOUBLE AS v0, 1.0::DOUBLE AS u0, o.n AS all_out, f.n AS all_in,
+    1 - {DAMPING!r} * CASE WHEN o.n IS NULL THEN 1 ELSE coalesce(o.own, 0) / o.n END AS net_out, 1 - {DAMPING!r} * CASE WHEN f.n IS NULL THEN 1 ELSE coalesce(f.own, 0) / f.n END AS net_in
+  FROM (SELECT host FROM s UNION SELECT src FROM a UNION SELECT dst FROM a) LEFT JOIN s USING (host) LEFT JOIN o USING (host) LEFT JOIN f USING (host)
+), r0 AS MATERIALIZED (
+  SELECT k.host, {every} FROM k LEFT JOIN (SELECT host, 0.0 AS t, 0.0 AS v, 0.0 AS d, 0.0 AS u FROM k WHERE false) g USING (host){steps}
+), h AS (
+  SELECT host, greatest(t0, CASE WHEN gv > 0 THEN gt / gv ELSE 0 END) AS trust, greatest(d0, CASE WHEN gu > 0 THEN gd / gu ELSE 0 END) AS distrust
+  FROM r{SQL_ROUNDS} JOIN k USING (host)
 )
-SELECT page_id, j.host AS host, path, rule, coalesce(ruled, CASE WHEN d > t AND d >= {BLOCK_FROM} THEN 'block' ELSE 'allow' END) AS verdict
-FROM j LEFT JOIN t{ROUNDS} r ON r.host = j.host
+SELECT page_id, j.host AS host, path, rule, coalesce(ruled, CASE WHEN distrust > trust AND distrust >= {BLOCK_FROM} THEN 'block' ELSE 'allow' END) AS verdict
+FROM j LEFT JOIN h ON h.host = j.host
 """
 
 

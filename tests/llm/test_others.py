@@ -55,44 +55,61 @@ def test_verdicts(spark):
     assert judge_urls(df.limit(0)).count() == 0
 
 
-def test_propagation(spark):
-    """Against power iteration on dense matrices."""
+@pytest.mark.parametrize("loops", [False, True])
+def test_propagation(spark, loops):
+    """Against the fixed point of the walk on dense matrices."""
     r = random.Random(6)
     hosts = [f"h{i}.com" for i in range(12)]
     edges = {(r.choice(hosts[:9]), r.choice(hosts[:9])): r.randrange(1, 5) for _ in range(25)}
-    edges = {k: n for k, n in edges.items() if k[0] != k[1]}
-    pages = [(s, " ".join(f'<a href="{r.choice(["http:", "https:", ""])}//{d}/p{i}">' for i in range(n))) for (s, d), n in edges.items()]
+    edges = {k: n for k, n in edges.items() if loops or k[0] != k[1]}
+    where = lambda s, d: [f"{x}//{d}" for x in ("http:", "HTTPS:", "")] + ["/x", "y?z", "?q=1"] * (s == d)
+    pages = [(s, " ".join(f'<a {r.choice(["href", "hReF"])}="{r.choice(where(s, d))}">' for i in range(n)) + '<a href="mailto:a@h1.com"><a href="#top">') for (s, d), n in edges.items()]
     links = host_links(spark.createDataFrame(pages, "host string, html string"), "host", "html")
     assert {(x["src"], x["dst"]): x["n"] for x in links.collect()} == edges
     seeds = [(h, float(i % 3 == 0), float(i % 4 == 1) / 2) for i, h in enumerate(hosts)]
-    got = {x["host"]: (x["trust"], x["distrust"]) for x in propagate(spark.createDataFrame(seeds, "host string, trust double, distrust double"), links).collect()}
+    got = {x["host"]: (x["trust"], x["distrust"], x["trust_share"], x["distrust_share"]) for x in propagate(spark.createDataFrame(seeds, "host string, trust double, distrust double"), links, tolerance=1e-5).collect()}
     w = np.zeros((12, 12))
     for (s, d), n in edges.items():
         w[hosts.index(s), hosts.index(d)] = n
 
-    def steps(m, seed):
+    def fixed(m, seed):
         p = np.array([m[i] / m[i].sum() if m[i].sum() else np.eye(12)[i] for i in range(12)])
-        v = seed.copy()
-        for _ in range(10):
-            v = 0.15 * seed + 0.85 * v @ p
-        return v
+        mass = np.linalg.solve(np.eye(12) - 0.85 * p.T, 0.15 * seed)
+        return mass, mass @ (p * (1 - np.eye(12)))
 
-    trust, distrust = steps(w, np.array([s[1] for s in seeds])), steps(w.T, np.array([s[2] for s in seeds]))
-    for i, h in enumerate(hosts):
-        assert np.allclose(got[h], (trust[i], distrust[i]))
+    seeded = [np.array([s[k] for s in seeds]) for k in (1, 2)]
+    for k, m in ((0, w), (1, w.T)):
+        mass, came = fixed(m, seeded[k])
+        _, alike = fixed(m, np.ones(12))
+        share = np.maximum(seeded[k], np.where(alike > 1e-12, came / np.maximum(alike, 1e-12), 0))
+        for i, h in enumerate(hosts):
+            assert np.isclose(got[h][k], mass[i], 1e-3, 1e-4) and np.isclose(got[h][k + 2], share[i], 1e-3, 1e-4)
+
+
+def test_hosts_belong_to_the_domain_above(spark):
+    pages = spark.createDataFrame([("a.b.example.com", None), ("a.b.example.com", ""), ("example.com", None), ("com", None), ("", "x")], "host string, html string")
+    assert {(x["src"], x["dst"]): x["n"] for x in host_links(pages, "host", "html").collect()} == {("a.b.example.com", "b.example.com"): 2}
 
 
 def test_spread_blocks_hosts_that_link_to_blocked_ones(spark):
     links = " ".join(f'<a href="http://bad.net/{i}">' for i in range(5))
     rows = [(i, f"http://farm.com/{i}", links) for i in range(3)] + [(10, "http://bad.net/1", None), (11, "http://fine.com/1", '<a href="/x"><a href="http://farm.org/">')]
-    got = {g["page_id"]: g["verdict"] for g in judge_urls(spark.createDataFrame(rows, "page_id long, url string, html string"), block_from=0.4).collect()}
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").selectExpr("*", "url as src", "url as dst", "url as t0", "page_id as n")
+    got = {g["page_id"]: g["verdict"] for g in judge_urls(pages).collect()}
     assert got == {0: "block", 1: "block", 2: "block", 10: "block", 11: "allow"}
 
 
+def test_blocked_domain_takes_its_hosts_along(spark):
+    """No rule names blog.bad.org; the domain above it is blocked, and a sound neighbour of it isn't."""
+    rows = [(1, "http://bad.org/1", None), (2, "http://bad.org/2", None), (3, "http://blog.bad.org/x", "x"), (4, "http://blog.good.org/x", "x"), (5, "http://good.org/x", "x")]
+    got = {g["page_id"]: g["verdict"] for g in judge_urls(spark.createDataFrame(rows, "page_id long, url string, html string"), rules=[("block", "bad.org/1"), ("block", "bad.org/2")]).collect()}
+    assert got == {1: "block", 2: "block", 3: "block", 4: "allow", 5: "allow"}
+
+
 @pytest.mark.parametrize("linkers", [1, 2, 10, 40])
 def test_spread_does_not_thin_out_with_more_linkers(spark, linkers):
-    bad, mixed = '<a href="http://bad.net/1">', '<a href="http://bad.net/1">' + '<a href="http://other.com/">' * 9
-    rows = [(i, f"http://farm{i}.com/", bad) for i in range(linkers)] + [(100, "http://bad.net/1", None), (101, "http://mixed.com/", mixed), (102, "http://fan.com/", '<a href="http://farm0.com/">')]
+    bad, mixed = '<a href="http://bad.net/1"><a href="/home">', '<a href="http://bad.net/1">' + '<a href="http://other.com/">' * 9
+    rows = [(i, f"http://farm{i}.com/", bad) for i in range(linkers)] + [(100, "http://bad.net/1", "<a href=x>"), (101, "http://mixed.com/", mixed), (102, "http://fan.com/", '<a href="http://farm0.com/">')]
     got = {g["page_id"]: g["verdict"] for g in judge_urls(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
     assert all(got[i] == "block" for i in range(linkers)) and got[100] == "block" and got[101] == "allow"
 
@@ -100,10 +117,26 @@ def test_spread_does_not_thin_out_with_more_linkers(spark, linkers):
 def test_spread_passes_ten_hops(spark):
     links = spark.createDataFrame([(f"h{i}", f"h{i + 1}", 1) for i in range(14)], "src string, dst string, n long")
     seeds = spark.createDataFrame([("h0", 1.0, 0.0)], "host string, trust double, distrust double")
-    got = {x["host"]: x["trust"] for x in propagate(seeds, links, rounds=None, tolerance=1e-9).collect()}
+    got = {x["host"]: x["trust"] for x in propagate(seeds, links, tolerance=1e-9).collect()}
     assert all(np.isclose(got[f"h{i}"], 0.15 * 0.85**i) for i in range(14)) and np.isclose(got["h14"], 0.85**14)
 
 
+def test_spread_and_its_sql(spark, tmp_path):
+    """The query and its SQL on pages that link across hosts, where the spread decides verdicts."""
+    r = random.Random(3)
+    hosts = [f"{p}h{i}.{z}" for i in range(12) for p, z in (("", "com"), ("www.", "com"), ("", "org"), ("", "net"), ("m.", "example.com"))]
+    rows = [(i, f"http://{r.choice(hosts)}/{r.choice(['de', 'en', 'fr'])}/{i}", " ".join(f"<a href='{r.choice(['/in', '//' + r.choice(hosts) + '/x', 'HTTP://' + r.choice(hosts).upper()])}'>" for _ in range(r.randrange(5)))) for i in range(300)]
+    rows += [(1000 + i, f"http://only{i}.com/", f"<A HREF=http://h{i}.net/>") for i in range(5)] + [(None, None, None), (2000, "nothing", "<a href=/x>")]
+    spark.createDataFrame(rows, "page_id long, url string, html string").write.parquet(f"{tmp_path}/pages.parquet")
+    db = duckdb.connect()
+    db.execute(f"create view pages as select * from '{tmp_path}/pages.parquet/*.parquet'")
+    names = ["page_id", "host", "path", "rule", "verdict"]
+    got = queries.QUERIES["op9_url_filter"](spark, str(tmp_path)).collect()
+    want = db.execute(f"SELECT {', '.join(names)} FROM ({queries.SQL['op9_url_filter']})").fetchall()
+    assert sorted((tuple(g[c] for c in names) for g in got), key=repr) == sorted(want, key=repr)
+    assert sum(g["rule"] is None and g["verdict"] == "block" for g in got) >= 5
+
+
 @pytest.mark.parametrize("zip64", [False, True])
 def test_archives(spark, tmp_path, zip64):
     big = "x" * 150
