@@ -49,12 +49,19 @@ def entity_quarter(src: DataFrame, key: str, dense: int = DENSE, least: int = LE
 
 def grouping_sets(src: DataFrame, key: str) -> DataFrame:
     """Totals, years, years and types, years and quarters in one pass; `level` tells which."""
-    src.createOrReplaceTempView("_terralot_stats")
-    return src.sparkSession.sql(f"""
+    return src.sparkSession.sql(
+        f"""
       SELECT {key}, annee, type, q, cast(grouping_id() AS int) AS level, count(*) AS n, cast(rint(median(pm2)) AS int) AS pm2_med, cast(rint(median(vf)) AS int) AS vf_med
-      FROM _terralot_stats WHERE {key} IS NOT NULL
+      FROM {{src}} WHERE {key} IS NOT NULL
       GROUP BY GROUPING SETS (({key}), ({key}, annee), ({key}, annee, type), ({key}, annee, q))
-    """)
+    """,
+        src=src,
+    )
+
+
+def years_of(src: DataFrame) -> list[int]:
+    """The axis of years: those that occur, in order."""
+    return src.select(F.sort_array(F.collect_set("annee"))).first()[0]
 
 
 def wide(src: DataFrame, key: str, years: list[int], types: list[int]) -> DataFrame:

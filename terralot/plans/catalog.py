@@ -110,13 +110,13 @@ def pm2_derive(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"WITH {LINES}, {FIRSTS} SELECT parcel, lon, lat FROM c")
 def parcel_first_coords(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Coordinates of each parcel from its first located line."""
-    return consolidate.parcel_coords(lines(spark, sf_dir)).select("parcel", "lon", "lat")
+    return consolidate.parcel_coords(consolidate.sales(lines(spark, sf_dir))).select("parcel", "lon", "lat")
 
 
 @query(f"WITH {LINES}, {FIRSTS} SELECT id, parcel, c.lon AS lon, c.lat AS lat FROM f JOIN c USING (parcel)")
 def anchor_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Transactions anchored by their first line's parcel, whichever transaction located it."""
-    rows = lines(spark, sf_dir)
+    rows = consolidate.sales(lines(spark, sf_dir))
     return consolidate.first_lines(rows).join(consolidate.parcel_coords(rows), ["file", "parcel"]).select("id", "parcel", "lon", "lat")
 
 
@@ -129,20 +129,20 @@ def anchor_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"WITH {LINES}, {ITEMS} SELECT id, rtype, bati, CAST(pieces AS INTEGER) AS pieces, CAST(sum(k) AS BIGINT) AS n_items, CAST(coalesce(sum(land), 0) AS BIGINT) AS land FROM i GROUP BY ALL")
 def item_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Items after merging, counted by label, area and rooms."""
-    rows = consolidate.items(lines(spark, sf_dir))
+    rows = consolidate.items(consolidate.sales(lines(spark, sf_dir)))
     return rows.groupBy("id", "rtype", "bati", "pieces").agg(F.count("*").alias("n_items"), F.coalesce(F.sum("terrain"), F.lit(0.0)).cast("long").alias("land"))
 
 
 @query(f"WITH {LINES}, {ITEMS}, {TOTALS} SELECT id, CAST(land AS BIGINT) AS land FROM p")
 def parcel_max_terrain(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Land of each transaction: the sum of its parcels' maxima."""
-    return consolidate.land_totals(lines(spark, sf_dir)).select("id", F.col("land").cast("long").alias("land"))
+    return consolidate.land_totals(consolidate.sales(lines(spark, sf_dir))).select("id", F.col("land").cast("long").alias("land"))
 
 
 @query(f"WITH {LINES}, {ITEMS}, {TOTALS} SELECT id, CAST(type AS INTEGER) AS type, nl FROM w")
 def primary_type(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Type of each transaction that has items."""
-    return consolidate.item_totals(consolidate.items(lines(spark, sf_dir))).select("id", parse.code(F.col("cls"), parse.TYPE_CODE).alias("type"), "nl")
+    return consolidate.item_totals(consolidate.sales(lines(spark, sf_dir))).filter("nl > 0").select("id", parse.code(F.col("cls"), parse.TYPE_CODE).alias("type"), "nl")
 
 
 @query(f"WITH {CONSOLIDATED} SELECT id, date, CAST(nat AS INTEGER) AS nat, type, vf, sb, st, np, nl, com, dep, adr, lon, lat FROM m")
@@ -166,7 +166,7 @@ def contiguity_check(spark: SparkSession, sf_dir: str) -> DataFrame:
   SELECT id, CAST(place AS INTEGER) AS place, rtype, bati, CAST(pieces AS INTEGER) AS pieces, terrain FROM r""")
 def canonical_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Items in canonical order: class, label, areas; missing values first."""
-    rows = consolidate.item_totals(consolidate.items(lines(spark, sf_dir))).select("id", F.posexplode("biens").alias("p", "b"))
+    rows = consolidate.item_totals(consolidate.sales(lines(spark, sf_dir))).select("id", F.posexplode("biens").alias("p", "b"))
     return rows.select("id", (F.col("p") + 1).alias("place"), F.col("b.type").alias("rtype"), F.col("b.surfBati").alias("bati"), F.col("b.pieces").alias("pieces"), F.col("b.surfTerrain").alias("terrain"))
 
 

@@ -48,6 +48,13 @@ def first_of_code(polygons: DataFrame) -> DataFrame:
     return rows.select("code", "r.*")
 
 
+def valid_layer(polygons: DataFrame, least: int) -> DataFrame:
+    """The same rows; an error if the layer has fewer features than a whole one."""
+    if (n := polygons.count()) < least:
+        raise ValueError(f"{n} features; a whole layer has {least} at least")
+    return polygons
+
+
 def read_points(spark: SparkSession, path: str, properties: str) -> DataFrame:
     """Line-delimited GeoJSON points: their properties (a declared schema) and lon, lat."""
     rows = spark.read.schema(f"properties struct<{properties}>, geometry struct<coordinates:array<double>>").json(path)

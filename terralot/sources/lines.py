@@ -19,11 +19,12 @@ HEADER = [
 NEEDED = ["id_mutation", "id_parcelle", "date_mutation"]
 
 
-def read_raw(spark: SparkSession, paths: list[str] | str) -> DataFrame:
+def read_raw(spark: SparkSession, paths: list[str] | str, multi_line: bool = False) -> DataFrame:
     """All columns as text, with file, ord (place in the file) and, of lines of another width, _corrupt_record.
 
     The columns are those of the first file's header, in any order; a header without the needed columns,
-    or another file with another header, is an error. A gzip file is one split; ord goes by split and line.
+    or another file with another header, is an error. Plain files are split (a gzip file is one split);
+    multi_line: quoted values may hold line breaks, and then a file is one split. ord goes by split and line.
     """
     paths = sorted(set([paths] if isinstance(paths, str) else paths))
     first = spark.read.text(paths).first()
@@ -31,8 +32,9 @@ def read_raw(spark: SparkSession, paths: list[str] | str) -> DataFrame:
     if missing := [c for c in NEEDED if c not in columns]:
         raise ValueError(f"columns are missing: {missing}")
     schema = StructType([StructField(c, StringType()) for c in (*columns, "_corrupt_record")])
-    raw = spark.read.csv(paths, schema=schema, header=True, multiLine=True, escape='"', mode="PERMISSIVE", columnNameOfCorruptRecord="_corrupt_record", enforceSchema=False, encoding="UTF-8")
-    return raw.withColumn("file", F.col("_metadata.file_path")).withColumn("ord", F.monotonically_increasing_id())
+    raw = spark.read.csv(paths, schema=schema, header=True, multiLine=multi_line, escape='"', mode="PERMISSIVE", columnNameOfCorruptRecord="_corrupt_record", enforceSchema=False, encoding="UTF-8")
+    place = F.struct(F.col("_metadata.file_block_start").alias("split"), F.monotonically_increasing_id().alias("line"))
+    return raw.withColumn("file", F.col("_metadata.file_path")).withColumn("ord", place)
 
 
 def to_lines(raw: DataFrame) -> DataFrame:
@@ -55,5 +57,19 @@ def counters(raw: DataFrame) -> DataFrame:
     lacking = F.lit(False)
     for c in NEEDED:
         lacking = lacking | F.col(c).isNull()
-    total = lambda c: F.sum(c.cast("long"))
-    return raw.groupBy().agg(F.count("*").alias("lines"), total(bad).alias("malformed"), total(~bad & lacking).alias("skipped"))
+    total = lambda c: F.coalesce(F.sum(c.cast("long")), F.lit(0))
+    return raw.agg(F.count("*").alias("lines"), total(bad).alias("malformed"), total(~bad & lacking).alias("skipped"))
+
+
+#: A consolidated record, as the sinks write it.
+MUTATION = "id string, date int, nat int, type int, vf long, sb int, st int, np int, nl int, com string, dep string, adr string, cp string, lon double, lat double"
+
+
+def read_mutations(spark: SparkSession, path: str) -> DataFrame:
+    """Consolidated records from line-delimited JSON, by their declared schema."""
+    return spark.read.schema(MUTATION).json(path)
+
+
+def read_located(spark: SparkSession, path: str) -> DataFrame:
+    """Exported records (Parquet) with the point that the spatial joins take."""
+    return spark.read.parquet(path).withColumn("pt", F.struct("lon", "lat"))

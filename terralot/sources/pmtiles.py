@@ -8,16 +8,19 @@ from __future__ import annotations
 
 import gzip
 import json
-import os
 import struct
+import uuid
 from bisect import bisect_right
 from collections.abc import Iterator
 
-from pyspark.sql import DataFrame, SparkSession
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, EqualTo, In, InputPartition
 from pyspark.sql.types import StructType
 
 from ..functions.mvt import Reader, varint
+from .shared import new_folder, open_read, open_write, remove
 
 #: Fixed values of the format: magic, length of the header, its layout, gzip and vector tile codes.
 MAGIC, HEADER_BYTES, LAYOUT, GZIP, MVT = b"PMTiles", 127, "<7sB11Q6B4iBii", 2, 1
@@ -38,6 +41,25 @@ def tile_id(z: int, x: int, y: int) -> int:
     return base + d
 
 
+def tile_number(z: Column, x: Column, y: Column) -> Column:
+    """tile_id as an expression: level by level from the top, with x and y turned as the curve turns."""
+    shift = lambda v, k: F.call_function("shiftright", v, k).bitwiseAND(F.lit(1))
+    long = lambda c: c.cast("long")
+
+    def step(s: Column, k: Column) -> Column:
+        rx, ry = shift(s["x"], k), shift(s["y"], k)
+        side = F.call_function("shiftleft", F.lit(1).cast("long"), k)
+        low = lambda v: v.bitwiseAND(side - 1)
+        turned = lambda v: F.when(rx == 1, side - 1 - low(v)).otherwise(low(v))
+        d = s["d"] + side * side * (rx * 3).bitwiseXOR(ry)
+        return F.struct(d.alias("d"), F.when(ry == 0, turned(s["y"])).otherwise(low(s["x"])).alias("x"), F.when(ry == 0, turned(s["x"])).otherwise(low(s["y"])).alias("y"))
+
+    steps = F.when(z > 0, F.sequence(z - 1, F.lit(0), F.lit(-1))).otherwise(F.array().cast("array<int>"))
+    start = F.struct(F.lit(0).cast("long").alias("d"), long(x).alias("x"), long(y).alias("y"))
+    base = (F.call_function("shiftleft", F.lit(1).cast("long"), z * 2) - 1) / 3
+    return long(base) + F.aggregate(steps, start, step, lambda s: s["d"])
+
+
 def tile_place(number: int) -> tuple[int, int, int]:
     z = 0
     while number >= 4**z:
@@ -96,7 +118,7 @@ def parse_directory(data: bytes) -> list[Entry]:
 
 class Archive:
     def __init__(self, path: str):
-        self.file = open(path.removeprefix("file://"), "rb")
+        self.file = open_read(path)
         head = struct.unpack(LAYOUT, self.file.read(struct.calcsize(LAYOUT)))
         if head[0] != MAGIC or head[1] != 3:
             raise ValueError(f"no PMTiles archive of version 3: {path}")
@@ -138,28 +160,38 @@ class Archive:
         return None
 
 
-def write_archive(tiles: DataFrame, path: str, metadata: dict | None = None, leaf_entries: int = 4096) -> dict:
-    """Write tiles (z, x, y, data) as one archive file, gzip-compressed; equal neighbours share their
-    bytes and one entry. Tiles come to the writer one partition at a time, in the order of their ids."""
-    from pyspark.sql import functions as F
-    from pyspark.sql.types import LongType
-
-    number = F.udf(tile_id, LongType())
+def write_archive(tiles: DataFrame, uri: str, metadata: dict | None = None, leaf_entries: int = 4096) -> dict:
+    """Write tiles (z, x, y, data) as one archive file, gzip-compressed; equal neighbours share their bytes and
+    one entry. Tasks write their ranges of tile ids as parts in the shared folder; the driver gets the directory's
+    entries and puts the parts together."""
+    parts = new_folder(tiles.sparkSession, "tile-parts")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        uri, out, at, last, entries = f"{parts}/{uuid.uuid4().hex}", None, 0, b"", []
+        for b in batches:
+            for number, z, data in zip(*(c.to_pylist() for c in b.columns)):
+                data = data if data[:2] == b"\x1f\x8b" else gzip.compress(data, mtime=0)
+                out = out or open_write(uri)
+                if entries and data == last and entries[-1][0] + entries[-1][1] == number:
+                    entries[-1][1] += 1
+                    continue
+                entries.append([number, 1, len(data), at, z])
+                out.write(data)
+                at, last = at + len(data), data
+        if out:
+            out.close()
+            yield pa.RecordBatch.from_arrays([pa.array([uri]), pa.array([entries[0][0]]), pa.array([at]), pa.array([json.dumps(entries)])], ["uri", "first", "bytes", "entries"])
+
+    rows = tiles.select(tile_number(F.col("z"), F.col("x"), F.col("y")).alias("id"), "z", "data").repartitionByRange("id").sortWithinPartitions("id")
+    made = rows.mapInArrow(run, "uri string, first long, bytes long, entries string").collect()  # the directory, which goes into the file's head
     entries: list[list[int]] = []
-    at, last, zooms, n = 0, None, [99, 0], 0
-    body = path + ".data"
-    with open(body, "wb") as out:
-        for r in tiles.select(number("z", "x", "y").alias("id"), "z", "data").orderBy("id").toLocalIterator():
-            data = bytes(r["data"])
-            data = data if data[:2] == b"\x1f\x8b" else gzip.compress(data, mtime=0)
-            n += 1
-            zooms = [min(zooms[0], r["z"]), max(zooms[1], r["z"])]
-            if entries and data == last and entries[-1][0] + entries[-1][1] == r["id"]:
-                entries[-1][1] += 1
-                continue
-            entries.append([r["id"], 1, len(data), at])
-            out.write(data)
-            at, last = at + len(data), data
+    at, n, zooms = 0, 0, []
+    made.sort(key=lambda r: r["first"])
+    for r in made:
+        for number, run_length, length, offset, z in json.loads(r["entries"]):
+            entries.append([number, run_length, length, at + offset])
+            n, zooms = n + run_length, zooms + [z] if not zooms or zooms[-1] != z else zooms
+        at += r["bytes"]
     pack = lambda e: gzip.compress(encode_directory([tuple(x) for x in e]), mtime=0)
     leaves, root = b"", entries
     if len(entries) > leaf_entries:
@@ -170,14 +202,16 @@ def write_archive(tiles: DataFrame, path: str, metadata: dict | None = None, lea
             leaves += leaf
     top, meta = pack(root), gzip.compress(json.dumps(metadata or {}).encode(), mtime=0)
     places = [HEADER_BYTES, len(top), HEADER_BYTES + len(top), len(meta), HEADER_BYTES + len(top) + len(meta), len(leaves), HEADER_BYTES + len(top) + len(meta) + len(leaves), at]
-    lowest, deepest = (zooms[0], zooms[1]) if n else (0, 0)
+    lowest, deepest = (min(zooms), max(zooms)) if n else (0, 0)
     head = struct.pack(LAYOUT, MAGIC, 3, *places, n, len(entries), len(entries), 1, GZIP, GZIP, MVT, lowest, deepest, -1800000000, -850000000, 1800000000, 850000000, lowest, 0, 0)
-    with open(path, "wb") as f, open(body, "rb") as b:
+    with open_write(uri) as f:
         for part in (head, top, meta, leaves):
             f.write(part)
-        while chunk := b.read(1 << 20):
-            f.write(chunk)
-    os.remove(body)
+        for r in made:
+            with open_read(r["uri"]) as b:
+                while chunk := b.read(1 << 20):
+                    f.write(chunk)
+    remove(tiles.sparkSession, parts)
     return {"tiles": n, "entries": len(entries), "bytes": at}
 
 
@@ -213,11 +247,23 @@ class _Reader(DataSourceReader):
         self.wanted[name] = self.wanted.get(name, values) & values
 
     def partitions(self) -> list[InputPartition]:
+        """Look-ups if z, x and y are all given; else a partition for each leaf directory that may hold a wanted
+        level, and for every STEP entries of the root."""
         w = self.wanted
         if len(w) == 3 and len(w["z"]) * len(w["x"]) * len(w["y"]) <= self.STEP:
             return [InputPartition([(z, x, y) for z in w["z"] for x in w["x"] for y in w["y"] if 0 <= z <= 31 and 0 <= x < 2**z and 0 <= y < 2**z])]
-        n = sum(1 for _ in Archive(self.path).entries())
-        return [InputPartition((i, i + self.STEP)) for i in range(0, max(n, 1), self.STEP)]
+        a = Archive(self.path)
+        root = a.directory(*a.root)
+        out = []
+        for e, after in zip(root, [*(e[0] for e in root[1:]), 4**32]):
+            if not e[1] and self._may_hold(e[0], after):
+                out.append(InputPartition((a.leaves[0] + e[3], e[2], 0, None)))
+        tiles = sum(1 for e in root if e[1])
+        return out + [InputPartition((*a.root, i, i + self.STEP)) for i in range(0, tiles, self.STEP)] or [InputPartition([])]
+
+    def _may_hold(self, first: int, after: int) -> bool:
+        zooms = self.wanted.get("z")
+        return zooms is None or any(first < (4 ** (z + 1) - 1) // 3 and after > (4**z - 1) // 3 for z in zooms)
 
     def read(self, partition: InputPartition):
         a = Archive(self.path)
@@ -228,13 +274,12 @@ class _Reader(DataSourceReader):
                 if found := a.find(number):
                     yield row(number, *found)
             return
-        start, end = partition.value
-        zooms = self.wanted.get("z")
-        for i, (number, run, length, offset) in enumerate(a.entries()):
-            if start <= i < end:
-                for k in range(run):
-                    if zooms is None or tile_place(number + k)[0] in zooms:
-                        yield row(number + k, offset, length)
+        start, length, first, end = partition.value
+        entries = a.entries(start, length) if end is None else [e for e in a.directory(start, length) if e[1]][first:end]
+        for number, run, length, offset in entries:
+            for k in range(run):
+                if self._may_hold(number + k, number + k + 1):
+                    yield row(number + k, offset, length)
 
 
 def register(spark: SparkSession) -> None:
@@ -243,11 +288,30 @@ def register(spark: SparkSession) -> None:
     spark.dataSource.register(PMTiles)
 
 
-def index_document(directory: DataFrame) -> DataFrame:
-    """One JSON document per level: tiles[x][y] = {offset, length}. directory: z, x, y, offset, length."""
-    from pyspark.sql import functions as F
+def load_index(spark: SparkSession, uri: str) -> DataFrame:
+    """(z, x, y, tile_id, offset, length) of every tile, kept in memory for look-ups."""
+    return spark.read.format("pmtiles").option("mode", "directory").load(uri).cache()
 
+
+def tile_lookup(requests: DataFrame, index: DataFrame) -> DataFrame:
+    """Requests (z, x, y, ...) with offset and length of their tiles; null where there is none."""
+    return requests.join(index.select("z", "x", "y", "offset", "length"), ["z", "x", "y"], "left")
+
+
+def index_stats(directory: DataFrame) -> DataFrame:
+    """(z, tiles, bytes, most_bytes) of each level."""
+    return directory.groupBy("z").agg(F.count("*").alias("tiles"), F.sum("length").cast("long").alias("bytes"), F.max("length").cast("long").alias("most_bytes"))
+
+
+def densest(directory: DataFrame) -> DataFrame:
+    """(z, x, y) of each level's largest tile; of equal ones the first by (x, y)."""
+    return directory.groupBy("z").agg(F.min_by(F.struct("x", "y"), F.struct(-F.col("length"), "x", "y")).alias("t")).select("z", "t.x", "t.y")
+
+
+def index_document(directory: DataFrame) -> DataFrame:
+    """One JSON document per level: stats and tiles[x][y] = {offset, length}. directory: z, x, y, offset, length."""
     cell = directory.groupBy("z", "x").agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct(F.col("y").cast("string").alias("k"), F.struct("offset", "length").alias("v"))))).alias("ys"))
     level = cell.groupBy("z").agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct(F.col("x").cast("string").alias("k"), F.to_json("ys").alias("v"))))).alias("xs"))
     inner = F.transform(F.map_entries("xs"), lambda e: F.concat(F.lit('"'), e["key"], F.lit('":'), e["value"]))
-    return level.select("z", F.concat(F.lit("{"), F.array_join(inner, ","), F.lit("}")).alias("doc"))
+    numbers = F.to_json(F.struct("tiles", "bytes", "most_bytes"))
+    return level.join(index_stats(directory), "z").select("z", F.concat(F.lit('{"stats":'), numbers, F.lit(',"tiles":{'), F.array_join(inner, ","), F.lit("}}")).alias("doc"))

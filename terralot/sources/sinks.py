@@ -3,14 +3,15 @@
 from __future__ import annotations
 
 import json
-import os
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.parse import year_of
 from ..operators.tiles import TILE_PROPERTIES
+from .shared import open_write, read_bytes, write_whole
 
+#: The columns of the Parquet export.
 PARQUET = ["id", "date", "annee", "nat", "type", "vf", "sb", "st", "pm2", "np", "nl", "nc", "dep", "com", "lon", "lat"]
 
 
@@ -39,15 +40,15 @@ def write_lines(mutations: DataFrame, folder: str) -> None:
     mutations.write.mode("overwrite").json(folder)
 
 
-def write_collection(features: DataFrame, path: str, order: str) -> int:
+def write_collection(features: DataFrame, uri: str, order: str) -> int:
     """One FeatureCollection file from features as text (column `feature`), one partition at a time on the driver."""
     n = 0
-    with open(path, "w", encoding="utf-8") as f:
-        f.write('{"type":"FeatureCollection","features":[')
+    with open_write(uri) as f:
+        f.write(b'{"type":"FeatureCollection","features":[')
         for r in features.orderBy(order).select("feature").toLocalIterator():
-            f.write(("," if n else "") + r["feature"])
+            f.write((b"," if n else b"") + r["feature"].encode())
             n += 1
-        f.write("]}")
+        f.write(b"]}")
     return n
 
 
@@ -64,31 +65,52 @@ def bundles(documents: DataFrame, key: str, dep: Column, version: str) -> DataFr
     return rows.select("dep", F.concat(F.lit(f'{{"version":"{version}","entities":{{'), inner, F.lit("}}")).alias("value"))
 
 
+def zone_index(zones: DataFrame, dep: Column, columns: list[str]) -> DataFrame:
+    """(dep, value): the zones of each département in the order of their codes, as one JSON array."""
+    row = F.struct("code", *[c for c in columns if c != "code"])
+    return zones.groupBy(dep.alias("dep")).agg(F.to_json(F.sort_array(F.collect_list(row))).alias("value"))
+
+
 def write_each(rows: DataFrame, key: str, folder: str) -> None:
-    """A file {key}.json per row (columns key, value), in a folder that all executors reach; each is
-    written under another name and then renamed, so a task that runs again leaves whole files."""
-    target = folder.removeprefix("file://")
-    os.makedirs(target, exist_ok=True)
+    """A file {key}.json per row (columns key, value) in a shared folder, in the order of the keys in each task."""
 
     def write(part) -> None:
         for r in part:
-            path = os.path.join(target, f"{r[key]}.json")
-            with open(f"{path}.{os.getpid()}.part", "w", encoding="utf-8") as f:
-                f.write(r["value"])
-            os.replace(f"{path}.{os.getpid()}.part", path)
+            write_whole(f"{folder}/{r[key]}.json", r["value"].encode())
+
+    rows.select(key, "value").repartition(key).sortWithinPartitions(key).foreachPartition(write)
 
-    rows.select(key, "value").repartition(key).foreachPartition(write)
 
+def write_document(uri: str, document: dict) -> None:
+    write_whole(uri, json.dumps(document, ensure_ascii=False).encode())
 
-def write_manifest(path: str, version: str, generated: str, years: list[int], dense: int, counts: dict, departments: list[str]) -> dict:
+
+def write_manifest(uri: str, version: str, generated: str, years: list[int], dense: int, counts: dict, departments: list[str]) -> dict:
     """The manifest, written last: what it names is complete."""
     out = {"version": version, "generated": generated, "dense_threshold": dense, "years": years, "departements": departments, "compteurs": counts}
-    with open(path + ".part", "w", encoding="utf-8") as f:
-        json.dump(out, f, ensure_ascii=False)
-    os.replace(path + ".part", path)
+    write_document(uri, out)
     return out
 
 
+#: Names of a report that passed, which the next build compares with, and of one that failed, which it never reads.
+PASSED, FAILED = "qa_report.json", "qa_report_failed.json"
+
+
+def write_report(folder: str, report: list[dict], totals: dict) -> bool:
+    """Write a build's checks (check, severity, violations) and totals; whether no error was found."""
+    good = not any(r["severity"] == "error" and r["violations"] for r in report)
+    write_document(f"{folder}/{PASSED if good else FAILED}", {"ok": good, "checks": report, "totals": totals})
+    return good
+
+
+def last_totals(folder: str) -> dict:
+    """The totals of the last report that passed; none without one."""
+    try:
+        return json.loads(read_bytes(f"{folder}/{PASSED}"))["totals"]
+    except FileNotFoundError:
+        return {}
+
+
 def write_slice(lines: DataFrame, folder: str) -> None:
     """A date slice as gzip CSV."""
     lines.write.mode("overwrite").option("header", True).option("compression", "gzip").csv(folder)
