@@ -134,11 +134,11 @@ def tile_y(lat: Column, z: int) -> Column:
     return F.floor((F.lit(1.0) - F.log(F.tan(r) + F.lit(1.0) / F.cos(r)) / F.lit(math.pi)) / F.lit(2.0) * F.lit(float(2**z))).cast("int")
 
 
-def tile_point_to_wgs84(z: Column, x: Column, y: Column, px: Column, py: Column, extent: int = 4096) -> Column:
+def tile_point_to_wgs84(z: Column, x: Column, y: Column, px: Column, py: Column, extent: Column | int = 4096) -> Column:
     """struct(lon, lat) of a point in a tile."""
-    n = F.pow(F.lit(2.0), z)
-    lon = (x + px / F.lit(float(extent))) / n * 360 - 180
-    lat = F.degrees(F.atan(F.sinh(F.lit(math.pi) * (1 - 2 * (y + py / F.lit(float(extent))) / n))))
+    n, size = F.pow(F.lit(2.0), z), (extent if isinstance(extent, Column) else F.lit(extent)).cast("double")
+    lon = (x + px / size) / n * 360 - 180
+    lat = F.degrees(F.atan(F.sinh(F.lit(math.pi) * (1 - 2 * (y + py / size) / n))))
     return F.struct(lon.alias("lon"), lat.alias("lat"))
 
 

@@ -7,7 +7,7 @@ import re
 from collections.abc import Callable
 from copy import deepcopy
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -69,3 +69,24 @@ def list_editions(fetch: Callable[[int], str], pattern: str, most_pages: int = 2
         if len(found) == before:
             break
     return list(found)
+
+
+def edition_date(name: Column) -> Column:
+    """The date at the end of an edition's name; empty without one."""
+    return F.regexp_extract(name, r"_(\d{4}-\d{2}-\d{2})$", 1)
+
+
+def editions(names: DataFrame, pattern: str) -> DataFrame:
+    """(name, date) of the editions that match. Column: name."""
+    return names.filter(F.col("name").rlike(pattern)).select("name", edition_date(F.col("name")).alias("date"))
+
+
+def latest(names: DataFrame, pattern: str) -> DataFrame:
+    """(name) of the latest edition that matches."""
+    return editions(names, pattern).agg(F.max_by("name", F.struct("date", "name")).alias("name"))
+
+
+def link(tag: Column) -> Column:
+    """struct(href, length) of a feed's link tag; null where an attribute is missing."""
+    found = lambda pattern: F.nullif(F.regexp_extract(tag, pattern, 1), F.lit(""))
+    return F.struct(found(r'href="([^"]+)"').alias("href"), found(r'gpf_dl:length="(\d+)"').cast("long").alias("length"))

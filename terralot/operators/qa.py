@@ -108,3 +108,32 @@ def report(spark: SparkSession, checks: dict[str, tuple[str, DataFrame]]) -> Dat
     """(check, severity, violations) of named (severity, violations) pairs, in one pass over their union."""
     parts = [df.agg(F.count("*").alias("violations")).select(F.lit(name).alias("check"), F.lit(how).alias("severity"), "violations") for name, (how, df) in checks.items()]
     return reduce(DataFrame.unionByName, parts)
+
+
+def first_codes(missing: DataFrame, most: int = 20) -> DataFrame:
+    """The first codes, in order, to show in a report."""
+    return missing.select("code").orderBy("code").limit(most)
+
+
+ARRAYS = ["n", "pm2_med", "vf_med", "sb_med", "st_med", "np_med"]
+BUNDLE = "version string, entities map<string,struct<code:string,n_tot:long,overall:struct<n:array<long>,pm2_med:array<int>>,byType:map<string,struct<n:array<long>,pm2_med:array<int>,vf_med:array<int>,sb_med:array<int>,st_med:array<int>,np_med:array<int>>>,quarters:array<struct<p:string,n:long,pm2_med:int>>>>"
+
+
+def bundle_findings(manifest: dict | None, bundles: DataFrame) -> DataFrame:
+    """(dep, code, what) of bundles (dep, value as JSON text): a missing manifest or bundle, another version, arrays
+    not aligned with the manifest's years, quarters of entities below its threshold."""
+    spark = bundles.sparkSession
+    if manifest is None:
+        return spark.createDataFrame([(None, None, "manifest")], "dep string, code string, what string")
+    n = len(manifest.get("years") or [])
+    rows = bundles.select("dep", F.from_json("value", BUNDLE).alias("b"))
+    version = rows.filter(~F.col("b.version").eqNullSafe(F.lit(manifest.get("version")))).select("dep", F.lit(None).cast("string").alias("code"), F.lit("version").alias("what"))
+    each = rows.select("dep", F.explode(F.map_values("b.entities")).alias("e"))
+    off = lambda a: F.coalesce(F.size(a), F.lit(0)) != n
+    types = F.exists(F.map_values("e.byType"), lambda t: F.array_contains(F.array(*[off(t[a]) for a in ARRAYS]), True))
+    found = [F.when(off(F.col("e.overall.n")) | off(F.col("e.overall.pm2_med")), "overall"), F.when(F.coalesce(types, F.lit(False)), "byType")]
+    if (least := manifest.get("dense_threshold")) is not None:
+        found.append(F.when(F.col("e.quarters").isNotNull() & (F.col("e.n_tot") < least), "quarters"))
+    entities = each.select("dep", F.col("e.code").alias("code"), F.explode(F.array_compact(F.array(*found))).alias("what"))
+    listed = spark.createDataFrame([(d,) for d in manifest.get("departements", [])], "dep string").join(bundles.select("dep"), "dep", "left_anti")
+    return version.unionByName(entities).unionByName(listed.select("dep", F.lit(None).cast("string").alias("code"), F.lit("bundle").alias("what")))

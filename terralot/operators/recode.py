@@ -91,3 +91,10 @@ def with_department(mutations: DataFrame) -> DataFrame:
 def without_commune(mutations: DataFrame) -> DataFrame:
     """Transactions with no commune: a build with any must stop."""
     return mutations.filter("com IS NULL")
+
+
+def refuse_without_commune(mutations: DataFrame) -> DataFrame:
+    """The same transactions; an error if one has no commune."""
+    if first := without_commune(mutations).limit(5).collect():
+        raise ValueError(f"no commune: {[r['id'] for r in first]}")
+    return mutations

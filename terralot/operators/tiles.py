@@ -42,9 +42,17 @@ def sample(assigned: DataFrame, most: int, order) -> DataFrame:
 
 
 def sample_by_size(assigned: DataFrame, budget: int, size) -> DataFrame:
-    """Points of each tile in the order of a hash of their id while their sizes' sum is within the budget."""
-    w = Window.partitionBy("z", "x", "y").orderBy(F.xxhash64("id"), "id").rowsBetween(Window.unboundedPreceding, 0)
-    return assigned.withColumn("_sum", F.sum(size).over(w)).filter(F.col("_sum") <= budget).drop("_sum")
+    """Points of each tile in the order of a hash of their id while their sizes' sum is within the budget.
+
+    Sums go by 1024 ranges of the hash first; only points of the range in which the budget ends, and of those
+    before it, are ordered, range by range, so no task orders a whole tile."""
+    key = ["z", "x", "y", "_range"]
+    rows = assigned.withColumn("_size", size).withColumn("_hash", F.xxhash64("id")).withColumn("_range", F.shiftright("_hash", 54))
+    before = Window.partitionBy("z", "x", "y").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    sums = rows.groupBy(*key).agg(F.sum("_size").alias("_all")).withColumn("_before", F.coalesce(F.sum("_all").over(before), F.lit(0))).filter(F.col("_before") <= budget)
+    inside = Window.partitionBy(*key).orderBy("_hash", "id").rowsBetween(Window.unboundedPreceding, 0)
+    kept = rows.join(sums.drop("_all"), key).withColumn("_sum", F.col("_before") + F.sum("_size").over(inside)).filter(F.col("_sum") <= budget)
+    return kept.select(*assigned.columns)
 
 
 def low_zoom(points: DataFrame) -> DataFrame:

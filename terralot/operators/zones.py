@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.geo import bbox, tile_x, tile_y, within
+from ..functions.geo import bbox, interior_point, tile_x, tile_y, within
 from .stats import medians, rint
 
 
@@ -59,3 +59,20 @@ def zone_documents(joined: DataFrame, columns: list[str]) -> DataFrame:
     """(code, doc): one JSON document per zone; nulls are left out. The transactions of a zone are few."""
     row = F.struct("id", *[c for c in columns if c != "id"])
     return joined.groupBy("code").agg(F.array_sort(F.collect_list(row)).alias("mutations")).select("code", F.to_json(F.struct("code", "mutations")).alias("doc"))
+
+
+def zone_meta(joined: DataFrame, zones: DataFrame) -> DataFrame:
+    """(code, name, com, com_name, n_tot, pm2_med) of each zone with sales; of several names of one code the least."""
+    names = zones.groupBy("code").agg(*[F.min(c).alias(c) for c in ("name", "com", "com_name")])
+    return names.join(joined.groupBy("code").agg(F.count("*").alias("n_tot"), *medians(pm2_med="pm2")), "code")
+
+
+def zone_index(zones: DataFrame) -> DataFrame:
+    """(code, com, lat, lon, bbox) of each zone: a point inside and the box, six decimals."""
+    rows = zones.select("code", "com", interior_point(F.col("polys")).alias("p"), bbox(F.col("polys"), 6).alias("b"))
+    return rows.select("code", "com", F.bround("p.y", 6).alias("lat"), F.bround("p.x", 6).alias("lon"), F.array("b.xmin", "b.ymin", "b.xmax", "b.ymax").alias("bbox"))
+
+
+def sales_at(points: DataFrame, zones: DataFrame, documents: DataFrame, level: int = 9) -> DataFrame:
+    """Points (lon, lat, ...) with the zone that holds them and that zone's document (code, doc); null where there is none."""
+    return points.join(join_anywhere(points, zones, level), points.columns, "left").join(documents, "code", "left")

@@ -3,30 +3,17 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import geo, parse
 from ..operators import client, consolidate, manifest, periods, qa, recode, stats, tiles, vector_tiles, zones
+from .registry import QUERIES as QUERIES
+from .registry import SQL as SQL
+from .registry import query
 from .profile import AWAY, CLASS, CONSOLIDATED, FIRSTS, ITEMS, LINES, NATURE, SIMPLE, TOTALS, lines, mutations, simple, table
 
-Query = Callable[[SparkSession, str], DataFrame]
-QUERIES: dict[str, Query] = {}
-SQL: dict[str, str] = {}
-
-
-def query(sql: str | None = None) -> Callable[[Query], Query]:
-    def add(f: Query) -> Query:
-        QUERIES[f.__name__] = f
-        if sql:
-            SQL[f.__name__] = sql
-        return f
-
-    return add
-
-
 # --- scalar functions -------------------------------------------------------------------------
 
 #: Number texts of many shapes, made from the events' keys.
@@ -238,18 +225,11 @@ def _aligned(rows: DataFrame) -> DataFrame:
     return arrays.select("com", text("n"), text("pm2_med"))
 
 
-@query(f"""WITH {SIMPLE}, y AS (SELECT com, annee, count(*) AS n, CAST(round_even(median(pm2), 0) AS INTEGER) AS p FROM s WHERE type = 1 AND k % 50 = 0 GROUP BY 1, 2),
-  a AS (SELECT com, a.annee AS annee, coalesce(n, 0) AS n, p FROM (SELECT DISTINCT com FROM y) CROSS JOIN (SELECT unnest(range(1995, 2002)) AS annee) a LEFT JOIN y USING (com, annee))
-  SELECT com, string_agg(CAST(n AS VARCHAR), ',' ORDER BY annee) AS n, string_agg(coalesce(CAST(p AS VARCHAR), 'null'), ',' ORDER BY annee) AS pm2_med FROM a GROUP BY com""")
-def aligned_year_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Yearly counts and medians along one axis, as text. As in its SQL only of every 50th order; `aligned_year_arrays_all` takes all."""
-    return _aligned(simple(spark, sf_dir).filter("type = 1 AND k % 50 = 0"))
-
 
 @query(f"""WITH {SIMPLE}, y AS (SELECT com, annee, count(*) AS n, CAST(round_even(median(pm2), 0) AS INTEGER) AS p FROM s WHERE type = 1 GROUP BY 1, 2),
   a AS (SELECT com, a.annee AS annee, coalesce(n, 0) AS n, p FROM (SELECT DISTINCT com FROM y) CROSS JOIN (SELECT unnest(range(1995, 2002)) AS annee) a LEFT JOIN y USING (com, annee))
   SELECT com, string_agg(CAST(n AS VARCHAR), ',' ORDER BY annee) AS n, string_agg(coalesce(CAST(p AS VARCHAR), 'null'), ',' ORDER BY annee) AS pm2_med FROM a GROUP BY com""")
-def aligned_year_arrays_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+def aligned_year_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Yearly counts and medians of all sales of a type along one axis, as text."""
     return _aligned(simple(spark, sf_dir).filter("type = 1"))
 
@@ -286,27 +266,8 @@ def semi_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- codes ------------------------------------------------------------------------------------
 
 
-def _moves(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Movements made from the orders below 60, as in the SQL: some codes twice on one date, chains and cycles among 40 codes."""
-    k = F.col("o_orderkey")
-    c = lambda v: F.lpad(v.cast("string"), 5, "0")
-    return table(spark, sf_dir, "orders").filter(k < 60).select(
-        F.when(k % 5 == 0, "21").otherwise("32").alias("mod"), F.concat(F.lit("20"), F.lpad((k % 7 + 10).cast("string"), 2, "0"), F.lit("-01-01")).alias("date_eff"), F.when(k % 11 == 0, "COMD").otherwise("COM").alias("typecom_av"),
-        c(k * 7 % 40).alias("com_av"), F.lit("COM").alias("typecom_ap"), c(k * 13 % 40 + k % 2).alias("com_ap"), k.alias("pos"),
-    )
-
 
-MOVES = """
-v AS (
-  SELECT CASE WHEN o_orderkey % 5 = 0 THEN '21' ELSE '32' END AS mod, '20' || lpad(CAST(o_orderkey % 7 + 10 AS VARCHAR), 2, '0') || '-01-01' AS date_eff, CASE WHEN o_orderkey % 11 = 0 THEN 'COMD' ELSE 'COM' END AS typecom_av,
-    lpad(CAST(o_orderkey * 7 % 40 AS VARCHAR), 5, '0') AS com_av, 'COM' AS typecom_ap, lpad(CAST(o_orderkey * 13 % 40 + o_orderkey % 2 AS VARCHAR), 5, '0') AS com_ap, o_orderkey AS pos
-  FROM orders WHERE o_orderkey < 60
-), n AS (
-  SELECT com_av, com_ap FROM (SELECT *, row_number() OVER (PARTITION BY com_av ORDER BY date_eff DESC, pos) AS r FROM v WHERE typecom_av = 'COM' AND typecom_ap = 'COM' AND com_av <> com_ap) WHERE r = 1
-)"""
-
-
-def _moves_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _moves(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Movements made from all orders, among half as many codes as there are orders; splits re-establish the code 25 above."""
     orders, k, m = table(spark, sf_dir, "orders"), F.col("o_orderkey"), F.col("m")
     code = lambda v: F.when(v < 100_000, F.lpad(v.cast("string"), 5, "0")).otherwise(v.cast("string"))
@@ -321,7 +282,7 @@ def _code_sql(v: str) -> str:
     return f"CASE WHEN {v} < 100000 THEN lpad(CAST({v} AS VARCHAR), 5, '0') ELSE CAST({v} AS VARCHAR) END"
 
 
-MOVES_ALL = f"""
+MOVES = f"""
 v AS (
   SELECT CASE WHEN o_orderkey % 5 = 0 THEN '21' ELSE '32' END AS mod, '20' || lpad(CAST(o_orderkey % 7 + 10 AS VARCHAR), 2, '0') || '-01-01' AS date_eff, CASE WHEN o_orderkey % 11 = 0 THEN 'COMD' ELSE 'COM' END AS typecom_av,
     {_code_sql("(o_orderkey * 7 % m)")} AS com_av, 'COM' AS typecom_ap, {_code_sql("(CASE WHEN o_orderkey % 5 = 0 THEN o_orderkey * 7 % m + 25 ELSE o_orderkey * 13 % m + o_orderkey % 2 END)")} AS com_ap, o_orderkey AS pos
@@ -331,42 +292,27 @@ v AS (
 )"""
 
 
+
 @query(f"WITH {MOVES} SELECT com_av, com_ap FROM n")
 def latest_event(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Of the movements of `_moves`, as its SQL; `latest_event_all` takes all orders."""
     return recode.latest_events(_moves(spark, sf_dir))
 
 
-@query(f"WITH {MOVES_ALL} SELECT com_av, com_ap FROM n")
-def latest_event_all(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return recode.latest_events(_moves_all(spark, sf_dir))
-
-
 CHAIN = "h AS (SELECT com_av, com_ap AS tip, 1 AS hops FROM n UNION ALL SELECT h.com_av, n.com_ap, hops + 1 FROM h JOIN n ON n.com_av = h.tip WHERE hops < 8), k AS (SELECT com_av, arg_max(tip, hops) AS target FROM h GROUP BY com_av)"
 
 
+
 @query(f"WITH RECURSIVE {MOVES}, {CHAIN} SELECT com_av, target FROM k")
 def code_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Where a code's movements lead, cycles cut after eight. Of the movements of `_moves`, as its SQL; `code_chain_all` takes all orders."""
     return recode.code_chains(_moves(spark, sf_dir))
 
 
-@query(f"WITH RECURSIVE {MOVES_ALL}, {CHAIN} SELECT com_av, target FROM k")
-def code_chain_all(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return recode.code_chains(_moves_all(spark, sf_dir))
-
 
 @query(f"WITH {MOVES} SELECT DISTINCT com_ap AS child, com_av AS parent FROM v WHERE typecom_av = 'COM' AND typecom_ap = 'COM' AND com_av <> com_ap AND mod = '21'")
 def split_children(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Of the movements of `_moves`, as its SQL; `split_children_all` takes all orders."""
     return recode.children_of_splits(_moves(spark, sf_dir))
 
 
-@query(f"WITH {MOVES_ALL} SELECT DISTINCT com_ap AS child, com_av AS parent FROM v WHERE typecom_av = 'COM' AND typecom_ap = 'COM' AND com_av <> com_ap AND mod = '21'")
-def split_children_all(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return recode.children_of_splits(_moves_all(spark, sf_dir))
-
-
 #: Communes beyond the nations' codes 0 to 24, without sales.
 MORE = 25
 
@@ -415,40 +361,24 @@ def remap_vote(spark: SparkSession, sf_dir: str) -> DataFrame:
     return recode.vote_targets(simple(spark, sf_dir), _polygons(spark, sf_dir, 9))
 
 
-@query(f"""WITH RECURSIVE {SIMPLE}, {EDGES}, {MOVES}, {CHAIN}, u AS (SELECT id, com, lon, lat, row_number() OVER (PARTITION BY com ORDER BY id) AS r FROM s WHERE com < '00009'), g AS (SELECT * FROM u WHERE r <= 7), hit AS ({INSIDE.format(rows="g", on="ed.pos >= 20")}),
-  first AS (SELECT id, arg_min(code, pos) AS code, min(pos) AS pos FROM hit GROUP BY id), votes AS (SELECT com, code, pos, count(*) AS n FROM first JOIN g USING (id) GROUP BY 1, 2, 3),
-  won AS (SELECT com, arg_max(code, n * 1000 - pos) AS voted FROM votes GROUP BY com), chained AS (SELECT com_av AS com, target FROM k WHERE target IN (SELECT code FROM z WHERE pos >= 20))
-  SELECT com, coalesce(voted, target) AS target, CASE WHEN voted IS NOT NULL THEN 'vote' WHEN target IS NOT NULL THEN 'chain' ELSE 'orphan' END AS how
-  FROM (SELECT DISTINCT com FROM s WHERE com < '00009') LEFT JOIN won USING (com) LEFT JOIN chained USING (com)""")
-def remap_mapping(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """How each unknown code is mapped: by vote, by its chain, or not at all. Of the sales of nine codes, as in its SQL; `remap_mapping_all` takes all."""
-    return recode.remap(simple(spark, sf_dir).filter("com < '00009'"), _polygons(spark, sf_dir, 20), _moves(spark, sf_dir))[1]
-
 
-@query(f"""WITH RECURSIVE {SIMPLE}, {EDGES}, {MOVES_ALL}, {CHAIN}, u AS (SELECT id, com, lon, lat, row_number() OVER (PARTITION BY com ORDER BY id) AS r FROM s WHERE com < '00020'), g AS (SELECT * FROM u WHERE r <= 7), hit AS ({INSIDE.format(rows="g", on="ed.pos >= 20")}),
+@query(f"""WITH RECURSIVE {SIMPLE}, {EDGES}, {MOVES}, {CHAIN}, u AS (SELECT id, com, lon, lat, row_number() OVER (PARTITION BY com ORDER BY id) AS r FROM s WHERE com < '00020'), g AS (SELECT * FROM u WHERE r <= 7), hit AS ({INSIDE.format(rows="g", on="ed.pos >= 20")}),
   first AS (SELECT id, arg_min(code, pos) AS code, min(pos) AS pos FROM hit GROUP BY id), votes AS (SELECT com, code, pos, count(*) AS n FROM first JOIN g USING (id) GROUP BY 1, 2, 3),
   won AS (SELECT com, arg_max(code, n * 1000 - pos) AS voted FROM votes GROUP BY com), chained AS (SELECT com_av AS com, target FROM k WHERE target IN (SELECT code FROM z WHERE pos >= 20))
   SELECT com, coalesce(voted, target) AS target, CASE WHEN voted IS NOT NULL THEN 'vote' WHEN target IS NOT NULL THEN 'chain' ELSE 'orphan' END AS how
   FROM (SELECT DISTINCT com FROM s WHERE com NOT IN (SELECT code FROM z WHERE pos >= 20)) LEFT JOIN won USING (com) LEFT JOIN chained USING (com)""")
-def remap_mapping_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+def remap_mapping(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How each unknown code of all sales is mapped."""
-    return recode.remap(simple(spark, sf_dir), _polygons(spark, sf_dir, 20), _moves_all(spark, sf_dir))[1]
-
+    return recode.remap(simple(spark, sf_dir), _polygons(spark, sf_dir, 20), _moves(spark, sf_dir))[1]
 
-@query(f"""WITH {SIMPLE}, {EDGES}, {MOVES}, d AS (SELECT DISTINCT com_ap AS code, com_av AS com FROM v WHERE typecom_av = 'COM' AND com_av <> com_ap AND mod = '21' AND com_ap NOT IN (SELECT com FROM s WHERE com < '00012')),
-  q AS (SELECT id, s.com AS com, lon, lat, d.code AS child FROM s JOIN d USING (com) WHERE s.com < '00012'), hit AS ({INSIDE.format(rows="q", on="ed.code = o.child")})
-  SELECT id, arg_min(code, pos) AS com FROM hit GROUP BY id""")
-def reassign_children(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Sales of parents that lie in a re-established commune. Of the sales of twelve codes, as in its SQL; `reassign_children_all` takes all."""
-    return recode.reassign_children(simple(spark, sf_dir).filter("com < '00012'"), _polygons(spark, sf_dir), _moves(spark, sf_dir))
 
 
-@query(f"""WITH {SIMPLE}, {EDGES_ALL}, {MOVES_ALL}, d AS (SELECT DISTINCT com_ap AS code, com_av AS com FROM v WHERE typecom_av = 'COM' AND com_av <> com_ap AND mod = '21' AND com_ap NOT IN (SELECT com FROM s)),
+@query(f"""WITH {SIMPLE}, {EDGES_ALL}, {MOVES}, d AS (SELECT DISTINCT com_ap AS code, com_av AS com FROM v WHERE typecom_av = 'COM' AND com_av <> com_ap AND mod = '21' AND com_ap NOT IN (SELECT com FROM s)),
   q AS (SELECT id, s.com AS com, lon, lat, d.code AS child FROM s JOIN d USING (com)), hit AS ({INSIDE.format(rows="q", on="ed.code = o.child")})
   SELECT id, arg_min(code, pos) AS com FROM hit GROUP BY id""")
-def reassign_children_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+def reassign_children(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All sales of parents that lie in a re-established commune; these have codes beyond the nations' and no sales of their own."""
-    return recode.reassign_children(simple(spark, sf_dir), _polygons(spark, sf_dir, more=MORE), _moves_all(spark, sf_dir))
+    return recode.reassign_children(simple(spark, sf_dir), _polygons(spark, sf_dir, more=MORE), _moves(spark, sf_dir))
 
 
 # --- zones and geometry -----------------------------------------------------------------------
@@ -467,15 +397,9 @@ def pip_join_zone(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _joined(spark, sf_dir).select("id", "code")
 
 
-@query(f"WITH {SIMPLE}, {EDGES}, g AS (SELECT * FROM s WHERE k % 10 = 0), hit AS ({INSIDE.format(rows='g', on='true')}) SELECT id, arg_min(code, pos) AS code FROM hit GROUP BY id")
-def gps_resolve(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The first zone anywhere that holds a point, by tile keys. As in its SQL only of every tenth point; `gps_resolve_all` takes all."""
-    points = simple(spark, sf_dir).filter("k % 10 = 0").select("id", "lon", "lat")
-    return zones.join_anywhere(points, _polygons(spark, sf_dir), 5).select("id", "code")
-
 
 @query(f"WITH {SIMPLE}, {EDGES}, hit AS ({INSIDE.format(rows='s', on='true')}) SELECT id, arg_min(code, pos) AS code FROM hit GROUP BY id")
-def gps_resolve_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+def gps_resolve(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The first zone anywhere that holds a point, of all points, by tile keys."""
     return zones.join_anywhere(simple(spark, sf_dir).select("id", "lon", "lat"), _polygons(spark, sf_dir), 5).select("id", "code")
 
@@ -563,10 +487,7 @@ def panel_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return client.panel_filter(simple(spark, sf_dir), [1, 3], 1997, 200_000, 500_000).select("id")
 
 
-_VIEW = geo.tiles_of_bbox(-60.0, 0.0, 40.0, 60.0, 4)[:16]
-
-
-@query(f"WITH {SIMPLE}, t AS (SELECT id, {_tile_sql(4)} FROM s) SELECT id, x, y FROM t WHERE (x, y) IN ({', '.join(map(str, _VIEW))})")
+@query(f"WITH {SIMPLE}, t AS (SELECT id, {_tile_sql(4)} FROM s) SELECT id, x, y FROM t WHERE x BETWEEN 5 AND 7 AND y BETWEEN 4 AND 8 OR x = 8 AND y = 4")
 def viewport_tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sales of the first 16 tiles of a view."""
     return tiles.view(tiles.assign(simple(spark, sf_dir), 4), -60.0, 0.0, 40.0, 60.0, 4.7).select("id", "x", "y")
@@ -667,17 +588,17 @@ def qa_rejected_share(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _points(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = simple(spark, sf_dir).filter("type IS NOT NULL").withColumn("nat", F.lit(1)).withColumn("adr", F.lit(None).cast("string")).withColumn("cp", F.lit(None).cast("string"))
-    return tiles.assign(rows, 4)
+    return tiles.assign(rows, 13)
 
 
-@query(f"WITH {SIMPLE} SELECT id, date, type, vf, sb, st, np, com, {_tile_sql(4)} FROM s WHERE type IS NOT NULL")
+@query(f"WITH {SIMPLE} SELECT id, date, type, vf, sb, st, np, com, {_tile_sql(13)} FROM s WHERE type IS NOT NULL")
 def mvt_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sales encoded to vector tiles and decoded again."""
     data = vector_tiles.encode_points(_points(spark, sf_dir), "mutations", tiles.TILE_PROPERTIES)
     return vector_tiles.sales_of(vector_tiles.decode(data)).select("id", "date", "type", "vf", "sb", "st", "np", "com", "x", "y")
 
 
-@query(f"WITH {SIMPLE} SELECT 4 AS z, {_tile_sql(4)}, count(*) AS n FROM s WHERE type IS NOT NULL GROUP BY 2, 3")
+@query(f"WITH {SIMPLE} SELECT 13 AS z, {_tile_sql(13)}, count(*) AS n FROM s WHERE type IS NOT NULL GROUP BY 2, 3")
 def mvt_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two layers' tiles put together: features of the sales' layer per tile."""
     points = _points(spark, sf_dir)

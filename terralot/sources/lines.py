@@ -32,7 +32,8 @@ def read_raw(spark: SparkSession, paths: list[str] | str, multi_line: bool = Fal
     if missing := [c for c in NEEDED if c not in columns]:
         raise ValueError(f"columns are missing: {missing}")
     schema = StructType([StructField(c, StringType()) for c in (*columns, "_corrupt_record")])
-    raw = spark.read.csv(paths, schema=schema, header=True, multiLine=multi_line, escape='"', mode="PERMISSIVE", columnNameOfCorruptRecord="_corrupt_record", enforceSchema=False, encoding="UTF-8")
+    # a line's width shows only if all its fields are parsed
+    raw = spark.read.option("columnPruning", False).csv(paths, schema=schema, header=True, multiLine=multi_line, escape='"', mode="PERMISSIVE", columnNameOfCorruptRecord="_corrupt_record", enforceSchema=False, encoding="UTF-8")
     place = F.struct(F.col("_metadata.file_block_start").alias("split"), F.monotonically_increasing_id().alias("line"))
     return raw.withColumn("file", F.col("_metadata.file_path")).withColumn("ord", place)
 

@@ -99,12 +99,21 @@ def test_feed(tmp_path):
 
 
 def test_stream_replaces_periods(spark, tmp_path):
-    source, target = str(tmp_path / "in"), str(tmp_path / "out")
-    for vf in (1, 2):
-        sales(spark).withColumn("vf", F.lit(vf).cast("long")).filter(F.lit(vf == 1) | F.col("date").between(20240000, 20249999)).coalesce(1).write.mode("append").parquet(source)
-        replace_periods(spark.readStream.schema(MUTATION).parquet(source), target, str(tmp_path / "check")).awaitTermination()
-    got = {(r["annee"], r["vf"]): r["n"] for r in spark.read.parquet(target).groupBy("annee", "vf").agg(F.count("*").alias("n")).collect()}
-    assert got == {(2023, 1): 1, (2024, 2): 8}
+    """A delivery of all years, then one of 2024 in two batches: nothing is replaced before it is complete."""
+    source, target, incoming = (str(tmp_path / x) for x in ("in", "out", "incoming"))
+    schema = MUTATION + ", delivery string, rows_of_delivery long"
+
+    def deliver(rows, name, n):
+        rows.withColumn("delivery", F.lit(name)).withColumn("rows_of_delivery", F.lit(n).cast("long")).coalesce(1).write.mode("append").parquet(source)
+        replace_periods(spark.readStream.schema(schema).parquet(source), target, incoming, str(tmp_path / "check")).awaitTermination()
+        return {(r["annee"], r["vf"]): r["n"] for r in spark.read.parquet(target).groupBy("annee", "vf").agg(F.count("*").alias("n")).collect()}
+
+    first = sales(spark).withColumn("vf", F.lit(1).cast("long"))
+    assert deliver(first, "a", 9) == {(2023, 1): 1, (2024, 1): 8}
+    later = sales(spark).withColumn("vf", F.lit(2).cast("long")).filter("date BETWEEN 20240000 AND 20249999").orderBy("id")
+    head = later.limit(3)
+    assert deliver(head, "b", 8) == {(2023, 1): 1, (2024, 1): 8}
+    assert deliver(later.join(head.select("id"), "id", "left_anti").select(*later.columns), "b", 8) == {(2023, 1): 1, (2024, 2): 8}
 
 
 def test_windowed_counts(spark, tmp_path):

@@ -6,7 +6,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
-from terralot.plans import catalog
+from terralot.plans import catalog, files, more
 
 SF = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem events".split()
@@ -37,6 +37,10 @@ def test_query(spark, db, name):
     assert a == b
 
 
+def test_registered():
+    assert {"csv_roundtrip", "sql_pip"} <= set(catalog.QUERIES) and {files.__name__, more.__name__} <= {f.__module__ for f in catalog.QUERIES.values()}
+
+
 def test_entry(spark):
     assert entry.entry(spark).count() > 0
     assert set(catalog.SQL) <= set(entry.queries())

@@ -16,7 +16,7 @@ tables = pytest.mark.skipif(not os.path.isdir(SF), reason="no test tables")
 @tables
 def test_aligned_counts_every_order(spark):
     want = profile.simple(spark, SF).filter("type = 1").filter(f"annee BETWEEN {catalog.YEARS[0]} AND {catalog.YEARS[-1]}").count()
-    got = catalog.QUERIES["aligned_year_arrays_all"](spark, SF).collect()
+    got = catalog.QUERIES["aligned_year_arrays"](spark, SF).collect()
     assert sum(int(n) for r in got for n in r["n"].split(",")) == want
 
 
@@ -31,7 +31,7 @@ def test_every_point_is_resolved(spark):
     """Against every pair of point and polygon, without keys and boxes."""
     pairs = profile.simple(spark, SF).select("id", "lon", "lat").crossJoin(catalog._polygons(spark, SF))
     want = pairs.filter(within(F.col("lon"), F.col("lat"), F.col("polys"))).groupBy("id").agg(F.min_by("code", "pos").alias("code")).collect()
-    got = catalog.QUERIES["gps_resolve_all"](spark, SF).collect()
+    got = catalog.QUERIES["gps_resolve"](spark, SF).collect()
     assert len(got) == len(want) and {r["id"]: r["code"] for r in got} == {r["id"]: r["code"] for r in want}
     assert any(int(r["id"]) % 10 for r in got)
 
@@ -39,15 +39,15 @@ def test_every_point_is_resolved(spark):
 @tables
 def test_movements_of_every_order(spark):
     n = profile.table(spark, SF, "orders").count()
-    moves = catalog._moves_all(spark, SF)
+    moves = catalog._moves(spark, SF)
     assert moves.count() == n and moves.select("com_av").distinct().count() > n / 4 > 60
-    assert catalog.QUERIES["latest_event_all"](spark, SF).count() > 60
+    assert catalog.QUERIES["latest_event"](spark, SF).count() > 60
 
 
 @tables
 def test_codes_of_all_sales(spark):
-    mapped = {r["com"] for r in catalog.QUERIES["remap_mapping_all"](spark, SF).collect()}
+    mapped = {r["com"] for r in catalog.QUERIES["remap_mapping"](spark, SF).collect()}
     assert mapped == {r["com"] for r in profile.simple(spark, SF).filter("com < '00020'").select("com").distinct().collect()} and max(mapped) > "00009"
-    moved = catalog.QUERIES["reassign_children_all"](spark, SF)
+    moved = catalog.QUERIES["reassign_children"](spark, SF)
     parents = {r["com"] for r in profile.simple(spark, SF).join(moved.select("id"), "id").select("com").distinct().collect()}
     assert max(parents) >= "00012" and not moved.filter("com < '00025'").count()
