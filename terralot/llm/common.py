@@ -2,13 +2,8 @@
 
 from __future__ import annotations
 
-import atexit
-import os
-import tempfile
-import uuid
 import zlib
 from collections.abc import Iterator
-from urllib.parse import urlparse
 
 import numpy as np
 import pyarrow as pa
@@ -16,44 +11,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-_made: dict[str, str] = {}
+from ..sources.shared import new_folder, remove
+from ..sources.shared import open_read as open_read
+from ..sources.shared import open_write as open_write
+
 #: Spark's setting to delete a query's shuffle files when it ends; nothing reads those of a staged table's query again.
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
-def shared_root(spark: SparkSession) -> str:
-    """A folder of this session below spark.checkpoint.dir, which every executor can reach.
-
-    Only where the cluster names none and all runs on one machine (tests) a temporary folder is set instead.
-    """
-    app = spark.sparkContext.applicationId
-    if app not in _made:
-        base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-        if not base:
-            if not spark.sparkContext.master.startswith("local["):
-                raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
-            base = "file://" + tempfile.mkdtemp(prefix="terralot-")
-            spark.sparkContext.setCheckpointDir(base)
-        elif not urlparse(base).scheme:
-            base = "file://" + os.path.abspath(base)
-        _made[app] = f"{base.rstrip('/')}/terralot-{uuid.uuid4().hex[:12]}"
-        atexit.register(_remove, spark, _made[app])
-    return _made[app]
-
-
-def _remove(spark: SparkSession, uri: str) -> None:
-    try:
-        jvm = spark.sparkContext._jvm
-        path = jvm.org.apache.hadoop.fs.Path(uri)
-        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
-    except Exception:  # the session may have ended before; the folder is then the cluster's to clean
-        pass
-
-
-def new_folder(spark: SparkSession, name: str) -> str:
-    return f"{shared_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
-
-
 def staged(df: DataFrame, name: str) -> DataFrame:
     """Write `df` as a table in the shared folder and read it back: lineage ends there,
     nothing is computed twice, and lost executors cost no more than their running tasks."""
@@ -74,31 +39,7 @@ def staged(df: DataFrame, name: str) -> DataFrame:
 def release(*tables: DataFrame) -> None:
     """Delete staged tables that nothing reads any more."""
     for t in tables:
-        _remove(t.sparkSession, t._staged_at)
-
-
-def open_write(uri: str):
-    """A binary file at `uri` for writing; plain files for file:, pyarrow's file systems else."""
-    u = urlparse(uri)
-    if u.scheme in ("", "file"):
-        os.makedirs(os.path.dirname(u.path), exist_ok=True)
-        return open(u.path, "wb")
-    from pyarrow import fs
-
-    system, path = fs.FileSystem.from_uri(uri)
-    system.create_dir(os.path.dirname(path), recursive=True)
-    return system.open_output_stream(path)
-
-
-def open_read(uri: str):
-    """A seekable binary file at `uri`."""
-    u = urlparse(uri)
-    if u.scheme in ("", "file"):
-        return open(u.path, "rb")
-    from pyarrow import fs
-
-    system, path = fs.FileSystem.from_uri(uri)
-    return system.open_input_file(path)
+        remove(t.sparkSession, t._staged_at)
 
 
 def prefix_sum(df: DataFrame, keys: list[str], order: str, value: str, out: str, block: int = 4096) -> DataFrame:

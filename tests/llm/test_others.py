@@ -13,7 +13,7 @@ import pytest
 
 import __spark_entry__ as entry
 from terralot.llm import queries
-from terralot.llm.topk import top_k
+from terralot.llm.topk import Pivots, Searcher, top_k
 from terralot.llm.url_graph import host_links, judge_urls, propagate
 from terralot.llm.zip_warc import DATA, ZipArchive, read_archives, read_records, write_archives
 
@@ -26,7 +26,7 @@ def test_top_k(spark, chunk):
     rows = [(i, [float(x) for x in v]) for i, v in enumerate(r.normal(size=(300, 8)).round(2))]
     rows += [(400 + i, rows[3][1]) for i in range(40)] + [(450, rows[3][1]), (450, rows[3][1])]  # many equal ones
     rows += [(500, None), (550, [1.0, None, 2.0]), (600, [float("nan")] * 8), (650, [1.0, 2.0]), (700, [float("inf")] * 8), (None, rows[0][1]), (750, []), (751, []), (800, [3.0, 1.0]), (801, [1e30] * 8)]
-    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").selectExpr("*", "vec_id as score", "vec_id as query_id").repartition(4)
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").selectExpr("*", "vec_id as score", "vec_id as query_id", "vec_id as rank", "vec_id as n", "vec_id as chunk", "vec_id as items").repartition(4)
     got = {}
     for g in top_k(df, chunk_components=chunk).collect():
         got.setdefault(g["query_id"], []).append((g["rank"], g["vec_id"], g["score"]))
@@ -40,6 +40,26 @@ def test_top_k(spark, chunk):
     assert top_k(df.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("pivots", [3, 128])
+def test_bounds_hold(pivots):
+    """No candidate's score is above its bound, and blocks ruled out hold none of the best."""
+    r = np.random.default_rng(4)
+    centres = r.normal(size=(6, 12)) * 40
+    x = np.floor(centres[r.integers(0, 6, 600)] + r.normal(size=(600, 12)))
+    x = x[np.lexsort(x.T)]
+    table = Pivots(x[:200], float((x**2).sum(axis=1).max()), pivots)
+    d = table.distances(x)
+    s = Searcher(np.arange(0, 600, 50), x[::50], table, 5, np.full(12, -(2**63), np.int64))
+    at, rest = table.places(d)
+    assert (s.at @ at.T + s.rest[:, None] * rest + s.slack[:, None] >= x[::50] @ x.T).all()
+    for i in range(0, 600, 40):
+        s.add(np.arange(i, i + 40), x[i : i + 40], d[i : i + 40])
+    scores = x[::50] @ x.T
+    for i, (got, ids) in enumerate(s.best):
+        assert list(zip(got, ids)) == [(v, j) for v, j in sorted(((scores[i, j], j) for j in range(600) if j != 50 * i), key=lambda p: (-p[0], p[1]))[:5]]
+    assert s.passed > 0 and s.evaluated < 0.5 * 12 * 600
+
+
 def test_verdicts(spark):
     rows = [
         (1, "http://a.net/x", None), (2, "https://WWW.Example.net/en/1?q#f", ""), (3, "http://example.com/de/", "x"), (4, "http://notexample.com/de/", "x"), (5, "http://b.org/fr/1", None), (6, "http://b.org/FR/1", None),
