@@ -5,10 +5,12 @@ documents); the channel writes letters as look-alike digits and signs, repeats l
 separators between them. For a disguised token a lattice holds what each character may stand for;
 Viterbi finds the likeliest reading under model and channel. The restored text is then scored.
 
-Scoring: words and word beginnings have log odds of toxic against clean documents, lowered by two
-standard errors, from a bounded labelled sample (`fit_rows` documents of the least hash of their id); the
-logistic score of a document takes the largest weights among its distinct words. Three quarters of
-the sample give the weights and the last quarter the logistic curve.
+Scoring: words and word beginnings have log odds of toxic against clean documents, lowered by two and
+a half standard errors, from a bounded labelled sample (`fit_rows` documents of the least hash of their
+id; all its features count). A document's score is a logistic function of the two largest weights among
+its distinct words, of the sum of all their squares, of how many distinct tokens it has, and of that sum
+against their number. The curve is fitted to the whole sample, each quarter of it read with the weights
+of the other three.
 """
 
 from __future__ import annotations
@@ -26,7 +28,9 @@ from pyspark.sql import functions as F
 
 from .common import count_blocks, in_training, sliced, staged, sum_blocks
 
-FIT_ROWS, MOST_FEATURES, TOXIC_FROM = 12_000, 20_000, 0.3
+FIT_ROWS, FOLDS, TOXIC_FROM = 12_000, 4, 0.3
+#: A weight is the log odds less so many standard errors, if above the least one.
+ERRORS, LEAST_WEIGHT = 2.5, 0.5
 CLASSES, LETTERS = 64, "abcdefghijklmnopqrstuvwxyzßàáâãäåæçèéêëìíîïðñòóôõöøùúûüýþÿ"
 OTHER = len(LETTERS) + 1
 #: What digits and signs stand for.
@@ -192,31 +196,46 @@ def features(word: str) -> list[str]:
 
 
 class Scorer:
-    """The three numbers that a document's score is made of."""
+    """The numbers that a document's score is made of."""
 
     def __init__(self, restorer: Restorer, weights: dict[str, float]):
         self.restorer, self.weights = restorer, weights
-        self.kept: dict[str, float] = {}
+        self.kept: dict[str, tuple] = {}
 
-    def weight(self, token: str) -> float:
+    def weight(self, word: str) -> float:
+        get = self.weights.get
+        return max(get(f, 0.0) for f in features(word))
+
+    def found(self, token: str) -> tuple:
+        """The words a token stands for that have a weight, with it."""
         value = self.kept.get(token)
         if value is None:
-            get = self.weights.get
-            value = max((get(f, 0.0) for w in self.restorer.words(token) for f in features(w)), default=0.0)
+            value = tuple((w, v) for w in self.restorer.words(token) if (v := self.weight(w)) > 0)
             if len(self.kept) > 400_000:
                 self.kept.clear()
             if len(token) <= CACHED:
                 self.kept[token] = value
         return value
 
-    def numbers(self, text: str | None) -> tuple[float, float, float]:
+    def numbers(self, text: str | None) -> tuple[float, ...]:
         low = (text or "").lower()
         tokens = set(low.split())
-        get = self.weights.get
-        found = sorted((v for v in map(self.weight, tokens) if v > 0), reverse=True)
-        spaced = sorted((v for w in set(self.restorer.spans(low)) if (v := max(get(f, 0.0) for f in features(w))) > 0), reverse=True)
-        found = sorted(found[:5] + spaced[:5], reverse=True)
-        return (found[0] if found else 0.0), (found[1] if len(found) > 1 else 0.0), sum(found[2:5])
+        known: dict[str, float] = {}
+        for pairs in map(self.found, tokens):
+            if pairs:
+                known.update(pairs)
+        known.update((w, v) for w in set(self.restorer.spans(low)) if (v := self.weight(w)) > 0)
+        top = sorted(known.values(), reverse=True)
+        squares, n = math.fsum(v * v for v in top), len(tokens)
+        return (top[0] if top else 0.0), (top[1] if len(top) > 1 else 0.0), math.log1p(squares), math.log1p(n), math.log1p(squares / math.sqrt(n + 1))
+
+
+NUMBERS = "a double, b double, c double, d double, e double"
+
+
+def log_odds(toxic: int, clean: int, all_toxic: int, all_clean: int) -> float:
+    """Of a feature in so many of all toxic and of all clean documents, lowered by its errors."""
+    return math.log((toxic + 0.5) / (clean + 0.5)) - math.log((all_toxic + 1) / (all_clean + 1)) - ERRORS * math.sqrt(1 / (toxic + 0.5) + 1 / (clean + 0.5))
 
 
 def fit_curve(x: np.ndarray, y: np.ndarray) -> np.ndarray:
@@ -234,9 +253,7 @@ def fit_curve(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return w
 
 
-def fit_toxicity(
-    docs: DataFrame, labels: DataFrame, *, doc_id: str = "doc_id", text: str = "text", label: str = "toxic", fit_rows: int = FIT_ROWS, most_features: int = MOST_FEATURES
-) -> dict:
+def fit_toxicity(docs: DataFrame, labels: DataFrame, *, doc_id: str = "doc_id", text: str = "text", label: str = "toxic", fit_rows: int = FIT_ROWS) -> dict:
     """The language model from all documents, weights and curve from a bounded sample of labelled
     rows that the fit may see. Null labels and labels other than 0 and 1 are none; of an id with both none counts."""
     context = docs.sparkSession.sparkContext
@@ -245,46 +262,53 @@ def fit_toxicity(
     known = labels.filter(in_training(doc_id)).filter(F.col(label).isin(0, 1)).groupBy(doc_id).agg(F.min(label).alias("y"), F.max(label).alias("z"))
     known = known.filter("y = z").select(F.col(doc_id).cast("long").alias("doc_id"), "y").orderBy(F.xxhash64(doc_id), "doc_id").limit(fit_rows)
     sample = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).join(F.broadcast(known), "doc_id")  # at most fit_rows rows
-    sample = staged(sample.withColumn("part", F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(4))), "labelled")
+    sample = staged(sample.withColumn("part", F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(FOLDS)).cast("int")), "labelled")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         restorer = Restorer(shared.value)
-        seen: list[Counter] = [Counter(), Counter()]
-        n = [0, 0]
+        seen: dict[tuple[int, int], Counter] = {}
         for b in sliced(batches):
-            for y, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+            for y, part, t in zip(*(c.to_pylist() for c in b.columns)):
                 low = (t or "").lower()
                 words = {w for token in set(low.split()) for w in restorer.words(token)} | set(restorer.spans(low))
-                seen[y].update({f for w in words for f in features(w)})
-                n[y] += 1
-        seen[0][""], seen[1][""] = n  # the numbers of documents
-        names = list(seen[0].keys() | seen[1].keys())
-        yield pa.RecordBatch.from_arrays([pa.array(names), pa.array([seen[0][f] for f in names], pa.int64()), pa.array([seen[1][f] for f in names], pa.int64())], ["f", "clean", "toxic"])
-
-    odds = sample.filter("part > 0").select("y", "text").mapInArrow(count, "f string, clean long, toxic long").groupBy("f").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
-    odds = staged(odds, "odds")
-    total = odds.filter("f = ''").first()
-    clean, toxic = (total["clean"], total["toxic"]) if total else (0, 0)
-    low = F.log((F.col("toxic") + 0.5) / (F.col("clean") + 0.5)) - F.lit(math.log((toxic + 1) / (clean + 1))) - 2 * F.sqrt(1 / (F.col("toxic") + 0.5) + 1 / (F.col("clean") + 0.5))
-    best = odds.filter("f <> ''").withColumn("w", low).filter("w > 0.5").orderBy(F.desc("w"), "f").limit(most_features).select("f", "w").collect()
-    weights = {r["f"]: r["w"] for r in best}
-    held = context.broadcast(weights)
+                seen.setdefault((part, y), Counter()).update({f for w in words for f in features(w)} | {""})  # the empty feature counts documents
+        for (part, y), counts in seen.items():
+            n = len(counts)
+            yield pa.RecordBatch.from_arrays([pa.array(counts.keys()), pa.array([part] * n, pa.int32()), pa.array([y] * n, pa.int32()), pa.array(counts.values(), pa.int64())], ["f", "part", "y", "n"])
+
+    counts = sample.select("y", "part", "text").mapInArrow(count, "f string, part int, y int, n long")
+    of = lambda part, y: F.coalesce(F.sum(F.when((F.col("part") == part) & (F.col("y") == y), F.col("n"))), F.lit(0)).alias(f"n{part}_{y}")
+    each = [of(part, y) for part in range(FOLDS) for y in (0, 1)]
+    # a feature of fewer than two toxic documents has no weight
+    odds = counts.groupBy("f").agg(*each).filter("f = '' OR " + " + ".join(f"n{part}_1" for part in range(FOLDS)) + " >= 2")
+    rows = {r["f"]: r for r in odds.collect()}  # features of the bounded sample
+    total = rows.pop("", None)
+
+    def weights(without: int | None) -> dict[str, float]:
+        parts = [p for p in range(FOLDS) if p != without]
+        n = lambda r, y: sum(r[f"n{p}_{y}"] for p in parts)
+        found = ((f, log_odds(n(r, 1), n(r, 0), n(total, 1), n(total, 0))) for f, r in rows.items())
+        return {f: w for f, w in found if w > LEAST_WEIGHT}
+
+    held = context.broadcast([weights(p) for p in range(FOLDS)])
 
     def numbers(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        scorer = Scorer(Restorer(shared.value), held.value)
+        restorer = Restorer(shared.value)
+        scorers = [Scorer(restorer, w) for w in held.value]
         for b in batches:
-            yield pd.DataFrame([(y, *scorer.numbers(t)) for y, t in zip(b["y"], b["text"])], columns=["y", "a", "b", "c"])
+            yield pd.DataFrame([(y, *scorers[p].numbers(t)) for y, p, t in zip(b["y"], b["part"], b["text"])], columns=["y", "a", "b", "c", "d", "e"])
 
-    got = sample.filter("part = 0").select("y", "text").mapInPandas(numbers, "y int, a double, b double, c double").toPandas().sort_values(["y", "a", "b", "c"])
-    curve = fit_curve(got[["a", "b", "c"]].to_numpy(), got["y"].to_numpy(dtype=np.float64)) if len(got) else np.zeros(4)
-    return {"model": model, "weights": weights, "curve": curve}
+    got = sample.select("y", "part", "text").mapInPandas(numbers, f"y int, {NUMBERS}").toPandas().sort_values(["y", "a", "b", "c", "d", "e"])
+    curve = fit_curve(got[["a", "b", "c", "d", "e"]].to_numpy(), got["y"].to_numpy(dtype=np.float64)) if len(got) else np.zeros(6)
+    return {"model": model, "weights": weights(None), "curve": curve}
 
 
 def score_toxicity(docs: DataFrame, fitted: dict, *, doc_id: str = "doc_id", text: str = "text", toxic_from: float = TOXIC_FROM, with_text: bool = False) -> DataFrame:
     """doc_id, score (0 to 1, higher: toxic likelier) and predicted of every row (with_text: restored, the text as read).
 
-    Null text counts as empty. Null and repeated ids and repeated rows are scored row by row. No rows
-    give none; other columns are ignored.
+    Null text counts as empty. Null and repeated ids and repeated rows are scored row by row. Tokens and spans
+    of any length are decoded whole, in time linear in it, and all of a long text counts. Of readings of equal
+    value the first counts. No rows give none; other columns are ignored.
     """
     shared = docs.sparkSession.sparkContext.broadcast(fitted)
     names = ["doc_id", "score", "predicted"] + ["restored"] * with_text
