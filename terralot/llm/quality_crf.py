@@ -4,13 +4,18 @@ Each line is good or bad. Its features are counts of its own and of the lines be
 transitions tie neighbouring labels. Forward-backward gives each line's marginal of being good, and
 the mean of the marginals, weighted by the lines' lengths, is the document's score.
 
-Fitting: at most `fit_rows` labelled documents (those of the least hash of their id) of at most
-`fit_lines` lines; a line's label is its document's. Scoring covers every line of every document.
+Fitting: at most `fit_rows` labelled documents (those of the least hash of their id), of each at most
+`fit_lines` neighbouring lines (which ones goes by a hash of the id). The labels are the documents'; which of its lines
+make a document bad is found in rounds: first every line has its document's label; then a bad document's
+worst lines, up to `share` of its length, keep it and its others take the label that their features
+give them. So chains may change state, and the transitions are learnt from where they do.
+Scoring covers every line of every document.
 """
 
 from __future__ import annotations
 
 import math
+import zlib
 from collections.abc import Iterator
 from operator import eq
 
@@ -23,7 +28,7 @@ from pyspark.sql.types import DoubleType, IntegerType, LongType, StructField, St
 
 from .common import in_training, sliced
 
-FIT_ROWS, FIT_LINES, KEEP_FROM = 6000, 2000, 0.7
+FIT_ROWS, FIT_LINES, SHARE, RELABELLED, KEEP_FROM = 6000, 100, 0.7, 2, 0.7
 UPPER, DIGITS = b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"0123456789"
 MARKS, SPACES, OTHER = b"#*$%&^~@=_+\\", b" \t\r\x0b\x0c", b".,;:!?"
 N_BASE = 20
@@ -98,8 +103,21 @@ class Chains:
         return good, moves, float(z[self.first].sum())
 
 
-def fit_crf(x: np.ndarray, lengths: list[int], labels: np.ndarray, rounds: int = 250, l2: float = 1e-3) -> dict:
-    """Weights by maximum likelihood with Adam, from line features and the labels of documents."""
+def relabelled(labels: np.ndarray, lengths: list[int], good: np.ndarray, weight: np.ndarray, share: float) -> np.ndarray:
+    """A label of each line: good in good documents; in bad ones bad for the worst lines, up to `share` of the length, and else the likelier one."""
+    doc = np.repeat(np.arange(len(lengths)), lengths)
+    order = np.lexsort((good, doc))
+    total = np.bincount(doc, weight, len(lengths))
+    before = np.cumsum(weight[order]) - weight[order]
+    first = np.concatenate([[0], np.cumsum(lengths)])[:-1].astype(np.int64)
+    before -= np.repeat(before[first], lengths)
+    worst = np.zeros(len(doc), bool)
+    worst[order] = before < share * total[doc[order]]
+    return ((labels[doc] == 1) | ~worst & (good >= 0.5)).astype(np.int64)
+
+
+def fit_crf(x: np.ndarray, lengths: list[int], labels: np.ndarray, weight: np.ndarray | None = None, rounds: int = 200, again: int = RELABELLED, share: float = SHARE, l2: float = 1e-3) -> dict:
+    """Weights by maximum likelihood with Adam, from line features and the labels of documents. weight: the lines' lengths."""
     f = x.shape[1]
     model = {"mean": np.zeros(f), "scale": np.ones(f), "w": np.zeros(f), "trans": np.zeros((2, 2))}
     if not len(labels):
@@ -109,20 +127,25 @@ def fit_crf(x: np.ndarray, lengths: list[int], labels: np.ndarray, rounds: int =
     std[0] = 1
     model |= {"mean": mean.astype(np.float64), "scale": std.astype(np.float64)}
     x = (x - model["mean"]) / model["scale"]
-    chains, y = Chains(lengths), np.repeat(labels, lengths).astype(np.float64)
-    n_docs = len(labels)
-    # observed transitions: a document's lines share its label
-    told = np.zeros((2, 2))
-    for v in (0, 1):
-        told[v, v] = sum(n - 1 for n, label in zip(lengths, labels) if label == v)
+    chains, n_docs = Chains(lengths), len(labels)
+    weight = np.ones(len(x)) if weight is None else weight + 1.0
+    y = np.repeat(labels, lengths)
+    inner = np.ones(len(x), bool)
+    inner[np.cumsum(lengths) - 1] = False
+    follow = np.flatnonzero(inner)
     w, trans = np.zeros(f), np.zeros((2, 2))
-    m, v = np.zeros(f + 4), np.zeros(f + 4)
-    for i in range(1, rounds + 1):
-        good, moves, _ = chains.marginals(x @ w, trans)
-        grad = np.concatenate([x.T @ (y - good) / n_docs - l2 * w, ((told - moves) / n_docs - l2 * trans).ravel()])
-        m, v = 0.9 * m + 0.1 * grad, 0.999 * v + 0.001 * grad**2
-        step = 0.1 * (m / (1 - 0.9**i)) / (np.sqrt(v / (1 - 0.999**i)) + 1e-8)
-        w, trans = w + step[:f], trans + step[f:].reshape(2, 2)
+    for turn in range(again + 1):
+        told = np.bincount(2 * y[follow] + y[follow + 1], minlength=4).reshape(2, 2)
+        m, v = np.zeros(f + 4), np.zeros(f + 4)
+        for i in range(1, (rounds if not turn else rounds // 4) + 1):
+            good, moves, _ = chains.marginals(x @ w, trans)
+            grad = np.concatenate([x.T @ (y - good) / n_docs - l2 * w, ((told - moves) / n_docs - l2 * trans).ravel()])
+            m, v = 0.9 * m + 0.1 * grad, 0.999 * v + 0.001 * grad**2
+            step = (0.1 if not turn else 0.03) * (m / (1 - 0.9**i)) / (np.sqrt(v / (1 - 0.999**i)) + 1e-8)
+            w, trans = w + step[:f], trans + step[f:].reshape(2, 2)
+        if turn < again:
+            # by the lines' own evidence: a document's label already binds its chain
+            y = relabelled(labels, lengths, 1 / (1 + np.exp(-np.clip(x @ w, -30, 30))), weight, share)
     return model | {"w": w, "trans": trans}
 
 
@@ -151,22 +174,25 @@ def fit_quality(docs: DataFrame, labels: DataFrame, *, doc_id: str = "doc_id", t
         for b in batches:
             out = []
             for i, y, t in zip(b["doc_id"], b["y"], b["text"]):
-                if (t or "").count("\n") < fit_lines:
-                    x, _ = line_features(t)
-                    out.append((i, y, len(x), x.tobytes()))
-            yield pd.DataFrame(out, columns=["doc_id", "y", "n", "x"])
+                x, n = line_features(t)
+                at = zlib.crc32(str(i).encode()) % (len(x) - fit_lines + 1) if len(x) > fit_lines else 0
+                x, n = x[at : at + fit_lines], n[at : at + fit_lines]
+                out.append((i, y, len(x), x.tobytes(), n.tobytes()))
+            yield pd.DataFrame(out, columns=["doc_id", "y", "n", "x", "lengths"])
 
-    got = rows.select("doc_id", "y", "text").mapInPandas(run, "doc_id long, y int, n int, x binary").toPandas().sort_values(["doc_id", "n", "x"])
+    got = rows.select("doc_id", "y", "text").mapInPandas(run, "doc_id long, y int, n int, x binary, lengths binary").toPandas().sort_values(["doc_id", "n", "x"])
     x = np.frombuffer(b"".join(got["x"]), np.float32).reshape(-1, 3 * N_BASE + 2)
-    return fit_crf(x, [int(n) for n in got["n"]], got["y"].to_numpy())
+    weight = np.frombuffer(b"".join(got["lengths"]), np.float64)
+    return fit_crf(x, [int(n) for n in got["n"]], got["y"].to_numpy(), weight)
 
 
 def score_quality(docs: DataFrame, model: dict, *, doc_id: str = "doc_id", text: str = "text", keep_from: float = KEEP_FROM, carry: list[str] | None = None) -> DataFrame:
     """doc_id, score (0 to 1, higher: good likelier), predicted, n_lines of every row.
 
     Null text counts as empty, an empty text as one line without words. Null and repeated ids
-    and repeated rows are scored row by row. No rows give none. Columns named in `carry` are passed on
-    with `_` before their names; others are ignored.
+    and repeated rows are scored row by row; rows of equal text have equal scores. All lines of a long text
+    count. No rows give none. Columns named in `carry` are passed on with `_` before their names; others are
+    ignored.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"), *[F.col(c).alias("_" + c) for c in carry or []])
