@@ -4,12 +4,14 @@ import collections
 import itertools
 import random
 import re
+import zlib
 
 import numpy as np
 import pytest
 
 import terralot.llm.jaccard_join as jaccard
-from terralot.llm.quality_crf import Chains, fit_quality, scores_of, score_quality
+from terralot.llm import toxicity
+from terralot.llm.quality_crf import Chains, fit_crf, fit_quality, line_features, relabelled, score_quality, scores_of
 from terralot.llm.quality_rules import quality_rules
 from terralot.llm.toxicity import Restorer, fit_toxicity, log_model, score_toxicity, trigram_counts
 
@@ -97,8 +99,6 @@ def test_quality_held_out(spark, edge, none, labels, no_labels):
     docs, marks = spark.createDataFrame([(i, t) for i, t, _, _ in rows], "doc_id long, text string"), spark.createDataFrame([(i, q) for i, _, q, _ in rows], "doc_id long, quality int")
     model = fit_quality(docs, marks)
     got = {r["doc_id"]: r for r in score_quality(docs, model).collect()}
-    import zlib
-
     held = [(i, q) for i, _, q, _ in rows if zlib.crc32(str(i).encode()) % 4 == 2]
     assert len(held) > 60 and np.mean([got[i]["predicted"] == q for i, q in held]) > 0.95
     assert scores_of([rows[0][1]], model)[0][0] == got[0]["score"]
@@ -113,8 +113,6 @@ def test_toxicity_held_out(spark, edge, none, labels, no_labels):
     docs, marks = spark.createDataFrame([(i, t) for i, t, _, _ in rows], "doc_id long, text string"), spark.createDataFrame([(i, x) for i, _, _, x in rows], "doc_id long, toxic int")
     fitted = fit_toxicity(docs, marks)
     got = {r["doc_id"]: r for r in score_toxicity(docs, fitted, with_text=True).collect()}
-    import zlib
-
     held = [(i, x) for i, _, _, x in rows if zlib.crc32(str(i).encode()) % 4 == 2]
     assert np.mean([got[i]["predicted"] == x for i, x in held]) > 0.95
     disguised = ["bl0rgf4c3", "v e x m u c k", "gr0tn0g", "blooorgface", "v-e-x-m-u-c-k", "grot.nog", "VEXMUUUCK"]
@@ -130,29 +128,124 @@ def test_toxicity_held_out(spark, edge, none, labels, no_labels):
     assert score_toxicity(none, fit_toxicity(none, no_labels)).count() == 0
 
 
-def test_viterbi_against_all_readings(spark):
-    texts = spark.createDataFrame([("the idle moron met a trusty otter on the moor",)] * 3, "text string")
-    restorer = Restorer(log_model(trigram_counts(texts)))
+def all_readings(restorer, token):
+    """The value of every reading of a token: what the channel may have written it from, under the model."""
+    runs = [(c, len(list(g))) for c, g in itertools.groupby(token)]
+    options = [restorer.options(c, n, 0 < i < len(runs) - 1) for i, (c, n) in enumerate(runs)]
+    out = {}
+    for reading in itertools.product(*options):
+        state, total = 0, 0.0
+        for cost, read in reading:
+            total -= cost
+            for ch in read:
+                state = state << 6 | restorer.number.get(ch, 0 if not ch.isalpha() else 59)
+                total += restorer.model[state]
+                state &= 0xFFF
+        text = "".join(r for _, r in reading)
+        out[text] = max(out.get(text, -np.inf), total + restorer.model[state << 6])
+    return out
+
 
-    def best(token):
-        runs = [(c, len(list(g))) for c, g in itertools.groupby(token)]
-        options = [restorer.options(c, n, 0 < i < len(runs) - 1) for i, (c, n) in enumerate(runs)]
+def test_toxicity_by_brute_force(spark):
+    """Weights recounted from all texts and labels, the curve's gradient, and scores by the formula."""
+    disguised = {"blorgface": "bl0rgface", "vexmuck": "vexmuuck", "grotnog": "gr0tnog"}
+    r = random.Random(12)
+    rows = [(i, " ".join(disguised.get(w, w) if r.random() < 0.3 else w for w in t.split(" ")), x) for i, t, _, x in corpus(120)]
+    rows += [(500, None, 0), (501, "", 0), (502, "blorgface blorgface\tgr0tnog", 1)]
+    docs = spark.createDataFrame([x[:2] for x in rows], "doc_id long, text string").repartition(3)
+    fitted = fit_toxicity(docs, spark.createDataFrame([(i, x) for i, _, x in rows], "doc_id long, toxic int"))
+    restorer = Restorer(fitted["model"])
+    parts = {x["doc_id"]: x["p"] for x in docs.selectExpr("doc_id", "cast(pmod(xxhash64(doc_id, 1), 4) as int) as p").collect()}
+
+    def words(text):
+        out = set()
+        for token in set((text or "").lower().split()):
+            plain = token.strip(toxicity.EDGES)
+            out |= {plain} - {""}
+            if toxicity.odd(token):
+                readings = all_readings(restorer, plain)
+                out |= {y for x in max(readings, key=readings.get).split() if (y := x.strip(toxicity.EDGES + "!*"))}
+        return out | set(restorer.spans((text or "").lower()))
+
+    of = lambda w: {"=" + w} | {"^" + w[:k] for k in range(3, 7) if len(w) >= k}
+    seen = [(i, x, {f for w in words(t) for f in of(w)}, words(t), len(set((t or "").lower().split()))) for i, t, x in rows]
+    train = [s for s in seen if zlib.crc32(str(s[0]).encode()) % 4 != 2]
+
+    def weights(some):
+        n, counts = collections.Counter(s[1] for s in some), collections.Counter((f, s[1]) for s in some for f in s[2])
+        out = {}
+        for f in {f for f, _ in counts}:
+            a, b = counts[f, 1] + 0.5, counts[f, 0] + 0.5
+            v = np.log(a / b) - np.log((n[1] + 1) / (n[0] + 1)) - 2.5 * np.sqrt(1 / a + 1 / b)
+            if v > 0.5:
+                out[f] = v
+        return out
+
+    want = weights(train)
+    assert want.keys() == fitted["weights"].keys() and all(np.isclose(want[f], v) for f, v in fitted["weights"].items()) and any("blorg" in f for f in want)
+
+    def numbers(s, w):
+        top = sorted((v for x in s[3] if (v := max(w.get(f, 0) for f in of(x))) > 0), reverse=True)
+        q = sum(v * v for v in top)
+        return [*(top + [0, 0])[:2], np.log1p(q), np.log1p(s[4]), np.log1p(q / np.sqrt(s[4] + 1))]
+
+    folds = [weights([s for s in train if parts[s[0]] != p]) for p in range(4)]
+    x = np.array([[*numbers(s, folds[parts[s[0]]]), 1] for s in train])
+    p = 1 / (1 + np.exp(-x @ fitted["curve"]))
+    assert np.abs(x.T @ (np.array([s[1] for s in train]) - p) - 0.1 * fitted["curve"]).max() < 1e-3
+    got = {g["doc_id"]: g["score"] for g in score_toxicity(docs, fitted).collect()}
+    for s in seen:
+        z = np.clip(np.dot([*numbers(s, want), 1], fitted["curve"]), -30, 30)
+        assert np.isclose(got[s[0]], 1 / (1 + np.exp(-z)))
+
+
+def test_quality_by_brute_force(spark):
+    """Scores from all labellings of a document's lines."""
+    rows = corpus(150)
+    model = fit_quality(spark.createDataFrame([(i, x) for i, x, _, _ in rows], "doc_id long, text string"), spark.createDataFrame([(i, q) for i, _, q, _ in rows], "doc_id long, quality int"))
+    texts = [x for _, x, _, _ in rows[:12]] + [None, "", "\n\n", "a\n" * 8 + "$$$ !!! ###"]
+    for text, score in zip(texts, scores_of(texts, model)[0]):
+        x, lengths = line_features(text)
+        s = ((x - model["mean"]) / model["scale"]) @ model["w"]
+        total, good = 0.0, np.zeros(len(s))
+        for y in itertools.product((0, 1), repeat=len(s)):
+            weight = np.exp(np.dot(s, y) + sum(model["trans"][a, b] for a, b in zip(y, y[1:])))
+            total, good = total + weight, good + weight * np.array(y)
+        lengths = lengths if lengths.sum() else np.ones(len(lengths))
+        assert np.isclose(score, np.dot(good / total, lengths) / lengths.sum())
+
+
+def test_lines_of_bad_documents_may_be_good():
+    good = np.array([0.9, 0.2, 0.9, 0.8, 0.1, 0.95])
+    assert relabelled(np.array([1, 0]), [2, 4], good, np.array([5.0, 5, 5, 5, 5, 5]), 0.5).tolist() == [1, 1, 1, 0, 0, 1]
+    r = np.random.default_rng(5)
+    lengths, labels, rows = [], [], []
+    for d in range(200):
+        bad = d % 2
+        kinds = [1, 1, 0, 0, 1] if bad else [1] * 5  # two bad lines, side by side, in each bad document
+        rows += [[1, k + 0.3 * r.normal()] for k in kinds]
+        lengths.append(5)
+        labels.append(1 - bad)
+    model = fit_crf(np.array(rows, np.float32), lengths, np.array(labels), share=0.4)
+    p, _, _ = Chains([5]).marginals((np.array([[1, 1], [1, 1], [1, 0], [1, 0], [1, 1]]) - model["mean"]) / model["scale"] @ np.diag(np.ones(2)) @ model["w"], model["trans"])
+    assert (p > 0.5).tolist() == [True, True, False, False, True]
+
+
+def test_documents_of_many_lines_are_fitted_too(spark):
+    text = {1: "\n".join(prose(random.Random(i), 12) for i in range(500)), 0: "\n".join("!!! $$$ ### %%%" for _ in range(500))}
+    rows = [(i, text[i % 2], i % 2) for i in range(24)]
+    model = fit_quality(spark.createDataFrame([x[:2] for x in rows], "doc_id long, text string"), spark.createDataFrame([(i, q) for i, _, q in rows], "doc_id long, quality int"))
+    scores, _ = scores_of([text[0], text[1]], model)
+    assert scores[0] < 0.1 and scores[1] > 0.9
 
-        def value(reading):
-            state, total = 0, 0.0
-            for cost, read in reading:
-                total -= cost
-                for ch in read:
-                    state = state << 6 | restorer.number.get(ch, 0 if not ch.isalpha() else 59)
-                    total += restorer.model[state]
-                    state &= 0xFFF
-            return total + restorer.model[state << 6]
 
-        return max(value(x) for x in itertools.product(*options)), {"".join(r for _, r in x): value(x) for x in itertools.product(*options)}
+def test_viterbi_against_all_readings(spark):
+    texts = spark.createDataFrame([("the idle moron met a trusty otter on the moor",)] * 3, "text string")
+    restorer = Restorer(log_model(trigram_counts(texts)))
 
     for token in ("m0r0n", "mooron", "m-o-r", "tr|ust", "0tt3r", "idl3$"):
-        top, every = best(token)
-        assert np.isclose(every[restorer.decode(token)], top)
+        every = all_readings(restorer, token)
+        assert np.isclose(every[restorer.decode(token)], max(every.values()))
 
 
 @pytest.fixture(scope="module")
