@@ -82,7 +82,8 @@ def quality_rules(
 
     A document is kept if its own rules pass and its host's shrunk rate is below `host_limit`.
     Null text: no words, so it fails. Null source: no host, judged alone. Null and repeated ids
-    and repeated rows are judged row by row. No rows give none. Columns named in `carry` are passed on
+    and repeated rows are judged row by row. Texts of any length are counted whole. A host whose rate
+    equals `host_limit` fails. No rows give none. Columns named in `carry` are passed on
     with `_` before their names; others are ignored.
     """
     rows = measured(docs, doc_id, text, source, carry or [])

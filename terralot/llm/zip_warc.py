@@ -162,8 +162,8 @@ def write_archives(
     """Write a record per row into packages of about `archive_mb` MB; their manifest (uri, records).
 
     Of rows with equal payloads of at least `least` bytes those with the smallest page_id are
-    responses and the others revisits of it; all smaller payloads are responses. Null html: an empty
-    payload. Null url: a record without target. Rows without page_id are responses only where their
+    responses (each, if several rows have that id) and the others revisits of it; all smaller payloads are
+    responses. Null html: an empty payload. Payloads of any length are written and read whole. Null url: a record without target. Rows without page_id are responses only where their
     payload has no row with one. No rows: no packages.
     """
     spark = pages.sparkSession
