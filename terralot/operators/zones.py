@@ -20,17 +20,32 @@ def join_zones(points: DataFrame, zones: DataFrame) -> DataFrame:
     return points.join(z, (F.col("com") == F.col("zone_com")) & in_box & within(F.col("lon"), F.col("lat"), F.col("polys"))).drop("zone_com", "polys", "b")
 
 
-def join_anywhere(points: DataFrame, zones: DataFrame, z: int = 9) -> DataFrame:
-    """Points with the first zone (by pos) that strictly holds them, whatever its commune: an equi-join
-    on the tiles of level z that a zone's box covers. zones: code, pos, polys. Beyond the map's edges the
+#: Levels of the tiles that zones are covered with, and the most tiles of one zone (but at the lowest level).
+COVER_LEVELS, COVER_TILES = (3, 6, 9), 64
+
+
+def join_anywhere(points: DataFrame, zones: DataFrame, levels: tuple[int, ...] = COVER_LEVELS) -> DataFrame:
+    """Points with the first zone (by pos) that strictly holds them, whatever its commune: an equi-join on
+    tiles. A zone's box is covered at the deepest of the levels at which few tiles do, so large zones aren't
+    cut into many; a point has a key for each level. zones: code, pos, polys. Beyond the map's edges the
     outermost tiles count."""
     edge = lambda lat: F.least(F.greatest(lat, F.lit(-85.0)), F.lit(85.0))
-    column = lambda lon: F.least(F.greatest(tile_x(lon, z), F.lit(0)), F.lit(2**z - 1))
-    row = lambda lat: tile_y(edge(lat), z)
+    column = lambda lon, z: F.least(F.greatest(tile_x(lon, z), F.lit(0)), F.lit(2**z - 1))
+    row = lambda lat, z: tile_y(edge(lat), z)
     box = zones.withColumn("b", bbox(F.col("polys")))
-    cover = box.withColumn("tx", F.explode(F.sequence(column(F.col("b.xmin")), column(F.col("b.xmax"))))).withColumn("ty", F.explode(F.sequence(row(F.col("b.ymax")), row(F.col("b.ymin")))))
-    keyed = points.withColumn("tx", column(F.col("lon"))).withColumn("ty", row(F.col("lat")))
-    hit = keyed.join(cover.select("code", "pos", "polys", "b", "tx", "ty"), ["tx", "ty"])
+
+    def span(z: int):
+        x, y = (column(F.col("b.xmin"), z), column(F.col("b.xmax"), z)), (row(F.col("b.ymax"), z), row(F.col("b.ymin"), z))
+        return F.struct(F.lit(z).alias("tz"), x[0].alias("x0"), x[1].alias("x1"), y[0].alias("y0"), y[1].alias("y1"))
+
+    chosen = span(min(levels))
+    for z in sorted(levels)[1:]:
+        s = span(z)
+        chosen = F.when((s["x1"] - s["x0"] + 1) * (s["y1"] - s["y0"] + 1) <= COVER_TILES, s).otherwise(chosen)
+    cover = box.withColumn("s", chosen).withColumn("tx", F.explode(F.sequence("s.x0", "s.x1"))).withColumn("ty", F.explode(F.sequence("s.y0", "s.y1"))).withColumn("tz", F.col("s.tz"))
+    keys = F.array(*[F.struct(F.lit(z).alias("tz"), column(F.col("lon"), z).alias("tx"), row(F.col("lat"), z).alias("ty")) for z in levels])
+    keyed = points.withColumn("key", F.explode(keys)).select("*", "key.*").drop("key")
+    hit = keyed.join(cover.select("code", "pos", "polys", "b", "tz", "tx", "ty"), ["tz", "tx", "ty"])
     hit = hit.filter(F.col("lon").between(F.col("b.xmin"), F.col("b.xmax")) & F.col("lat").between(F.col("b.ymin"), F.col("b.ymax"))).filter(within(F.col("lon"), F.col("lat"), F.col("polys")))
     return hit.groupBy(*points.columns).agg(F.min_by("code", "pos").alias("code"))
 
@@ -73,6 +88,6 @@ def zone_index(zones: DataFrame) -> DataFrame:
     return rows.select("code", "com", F.bround("p.y", 6).alias("lat"), F.bround("p.x", 6).alias("lon"), F.array("b.xmin", "b.ymin", "b.xmax", "b.ymax").alias("bbox"))
 
 
-def sales_at(points: DataFrame, zones: DataFrame, documents: DataFrame, level: int = 9) -> DataFrame:
+def sales_at(points: DataFrame, zones: DataFrame, documents: DataFrame) -> DataFrame:
     """Points (lon, lat, ...) with the zone that holds them and that zone's document (code, doc); null where there is none."""
-    return points.join(join_anywhere(points, zones, level), points.columns, "left").join(documents, "code", "left")
+    return points.join(join_anywhere(points, zones), points.columns, "left").join(documents, "code", "left")

@@ -401,7 +401,7 @@ def pip_join_zone(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"WITH {SIMPLE}, {EDGES}, hit AS ({INSIDE.format(rows='s', on='true')}) SELECT id, arg_min(code, pos) AS code FROM hit GROUP BY id")
 def gps_resolve(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The first zone anywhere that holds a point, of all points, by tile keys."""
-    return zones.join_anywhere(simple(spark, sf_dir).select("id", "lon", "lat"), _polygons(spark, sf_dir), 5).select("id", "code")
+    return zones.join_anywhere(simple(spark, sf_dir).select("id", "lon", "lat"), _polygons(spark, sf_dir)).select("id", "code")
 
 
 @query(f"WITH {JOINED} SELECT code, count(*) AS n_tot, {_med(pm2_med='pm2', vf_med='vf')} FROM j GROUP BY code")

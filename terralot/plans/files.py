@@ -8,16 +8,17 @@ import struct
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import geo as shapes
 from ..functions import parse
-from ..operators import consolidate, manifest, periods, qa, stats, tiles, vector_tiles, zones
+from ..operators import manifest, periods, qa, stats, tiles, vector_tiles, zones
 from ..sources import geo, lines, pmtiles, shared, sinks
+from ..streaming.periods import replace_periods, windowed_counts
 from . import profile
 from .catalog import EDGES, JOINED, YEARS, _joined, _med, _points, _polygons, _tile_sql
-from .profile import AWAY, LINES, SIMPLE, simple, table
+from .profile import LINES, SIMPLE, simple, table
 from .registry import query
 
 # --- transaction files --------------------------------------------------------------------------
@@ -355,3 +356,36 @@ def report_files(spark: SparkSession, sf_dir: str) -> DataFrame:
         kept = json.loads(shared.read_bytes(f"{folder}/{sinks.PASSED if good else sinks.FAILED}"))
         out.append((kept["ok"], "passed" if good else "failed", sinks.last_totals(folder)["records"]))
     return spark.createDataFrame(out, "ok boolean, file string, last int")
+
+
+# --- streams ------------------------------------------------------------------------------------
+
+
+@query(f"WITH {SIMPLE} SELECT id, CAST(annee AS INTEGER) AS annee, CASE WHEN annee = 1998 THEN vf + 1 ELSE vf END AS vf FROM s")
+def period_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A delivery of all sales, and then one of a year in two files, a file a batch: it replaces the year whole."""
+    folder = shared.new_folder(spark, "deliveries")
+    rows = simple(spark, sf_dir).select("id", "date", "vf", "k", "annee")
+    year = rows.filter("annee = 1998").withColumn("vf", F.col("vf") + 1)
+
+    def deliver(part: DataFrame, name: str, n: int) -> None:
+        part.select("id", "date", "vf").withColumn("delivery", F.lit(name)).withColumn("rows_of_delivery", F.lit(n).cast("long")).coalesce(1).write.mode("append").parquet(f"{folder}/in")
+
+    deliver(rows, "a", rows.count())
+    n = year.count()
+    for half in (0, 1):
+        deliver(year.filter(F.floor(F.col("k") / 2) % 2 == half), "b", n)
+    stream = spark.readStream.schema("id string, date int, vf long, delivery string, rows_of_delivery long").option("maxFilesPerTrigger", 1).parquet(f"{folder}/in")
+    replace_periods(stream, f"{folder}/out", f"{folder}/incoming", f"{folder}/checkpoint").awaitTermination()
+    return spark.read.parquet(f"{folder}/out").select("id", "annee", "vf")
+
+
+@query("SELECT event_type, strftime(date_trunc('hour', ts), '%Y-%m-%d %H:%M:%S') AS start, count(*) AS n FROM events GROUP BY 1, 2")
+def windowed_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events counted by hour and type, as a stream."""
+    out = shared.new_folder(spark, "windows")
+    events = spark.readStream.schema(table(spark, sf_dir, "events").schema).parquet(f"{sf_dir}/events.parquet*").withColumn("ts", F.col("ts").cast("timestamp"))
+    counted = windowed_counts(events, "ts", "event_type", "1 hour", "1 hour").select("event_type", F.date_format("window.start", "yyyy-MM-dd HH:mm:ss").alias("start"), "n")
+    keep = lambda batch, _: batch.write.mode("overwrite").parquet(f"{out}/counts")
+    counted.writeStream.outputMode("complete").foreachBatch(keep).option("checkpointLocation", f"{out}/checkpoint").trigger(availableNow=True).start().awaitTermination()
+    return spark.read.parquet(f"{out}/counts")
