@@ -32,9 +32,10 @@ def let(value: Column, use: Callable[[Column], Column]) -> Column:
 
 
 def sales(lines: DataFrame) -> DataFrame:
-    """(file, id, lines): each transaction's lines in their order."""
+    """(file, id, lines): each transaction's lines in their order. They are dealt by transaction first: a sale has
+    few lines, so collecting parts of it before the shuffle would only cost."""
     line = F.struct("ord", "parcel", "date", "nature", "price", "rtype", "bati", "pieces", "terrain", "carrez", "adr", "cp", "com", "dep", "lon", "lat")
-    return lines.groupBy(*KEY).agg(F.sort_array(F.collect_list(line)).alias("lines"))
+    return lines.repartition(*KEY).groupBy(*KEY).agg(F.sort_array(F.collect_list(line)).alias("lines"))
 
 
 def parcel_coords(grouped: DataFrame) -> DataFrame:
