@@ -35,7 +35,7 @@ from .common import count_blocks, estimated_bytes, release, sliced, staged, sum_
 #: The slot table has a slot for every two bytes of the input as Spark estimates it, within these powers of two.
 LEAST_BITS, MOST_BITS, SLOT_BLOCK = 14, 22, 4096
 SKETCH_WORDS = 8
-BLOCK_GROUPS = 256
+BLOCK_GROUPS = 128
 #: Classes that meet in a block: BLOCK_CLASSES, but no more than FEW_BLOCKS blocks up to MOST_CLASSES each, and BLOCK_BYTES of sets.
 BLOCK_CLASSES, FEW_BLOCKS, MOST_CLASSES, BLOCK_BYTES = 256, 32, 1024, 16 << 20
 LEAST_SIDE, SQUARE_BYTES = 8, 6 << 20
