@@ -52,6 +52,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     groups = staged(jaccard_join(docs).select("doc_id", "text_hash", "group_id").filter("doc_id IS NOT NULL"), "groups")
     row = F.struct("doc_id", "text_hash")
     least = groups.filter("group_id IS NOT NULL").groupBy("group_id").agg(F.min(row).alias("kept"), F.max(row).alias("last")).filter("kept <> last").select("group_id", "kept")
+    least = staged(least, "first-of-groups")  # of known size, and a join whose large groups Spark can split
     dropped = groups.join(least, "group_id").filter(row != F.col("kept")).select("doc_id", "text_hash").distinct()
     again = groups.groupBy("doc_id", "text_hash").count().filter("count > 1").select("doc_id", "text_hash")
     mark = lambda df, what: staged(df, what).select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"))
