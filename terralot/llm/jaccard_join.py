@@ -37,7 +37,7 @@ LEAST_BITS, MOST_BITS, SLOT_BLOCK = 14, 22, 4096
 SKETCH_WORDS = 8
 BLOCK_GROUPS = 128
 #: Classes that meet in a block: BLOCK_CLASSES, but no more than FEW_BLOCKS blocks up to MOST_CLASSES each, and BLOCK_BYTES of sets.
-BLOCK_CLASSES, FEW_BLOCKS, MOST_CLASSES, BLOCK_BYTES = 256, 32, 1024, 16 << 20
+BLOCK_CLASSES, FEW_BLOCKS, MOST_CLASSES, BLOCK_BYTES = 128, 8, 1024, 16 << 20
 LEAST_SIDE, SQUARE_BYTES = 8, 6 << 20
 UNION_LINKS = 1_000_000
 #: Shingles that a task counts at a time.
