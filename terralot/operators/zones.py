@@ -89,5 +89,7 @@ def zone_index(zones: DataFrame) -> DataFrame:
 
 
 def sales_at(points: DataFrame, zones: DataFrame, documents: DataFrame) -> DataFrame:
-    """Points (lon, lat, ...) with the zone that holds them and that zone's document (code, doc); null where there is none."""
-    return points.join(join_anywhere(points, zones), points.columns, "left").join(documents, "code", "left")
+    """Points (lon, lat, ...) with the zone that holds them and that zone's document (code, and columns that are worked out
+    of it once); null where there is none. Only points in a zone are dealt by its code, so no task gets all the others."""
+    located = join_anywhere(points, zones).join(documents, "code", "left")
+    return points.join(located, points.columns, "left").select("code", *points.columns, *[c for c in documents.columns if c != "code"])

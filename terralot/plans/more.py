@@ -60,9 +60,10 @@ def colours(spark: SparkSession, sf_dir: str) -> DataFrame:
 def zone_fetch(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How many sales the document of the zone holds that a point lies in."""
     documents = zones.zone_documents(_joined(spark, sf_dir), ["id"])
+    sales = F.size(F.from_json("doc", "mutations array<struct<id:string>>")["mutations"]).cast("long")
     points = simple(spark, sf_dir).select("k", "lon", "lat")
-    rows = zones.sales_at(points, _polygons(spark, sf_dir), documents)
-    return rows.select("k", "code", F.coalesce(F.size(F.from_json("doc", "mutations array<struct<id:string>>")["mutations"]).cast("long"), F.lit(0)).alias("n"))
+    rows = zones.sales_at(points, _polygons(spark, sf_dir), documents.select("code", sales.alias("n")))  # a document is read once, not for each point
+    return rows.select("k", "code", F.coalesce("n", F.lit(0)).alias("n"))
 
 
 # --- zones and tiles ----------------------------------------------------------------------------
